@@ -5,11 +5,11 @@ All text written here is UTC and needs a session pinned to UTC (``session.requir
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from keyedflow.functions.binding import let
+
 ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 DAY = "yyyy-MM-dd"
 
@@ -22,11 +22,10 @@ COMMON_SPELLING = (
 )
 
 # ISO 8601: a calendar, ordinal or week date, then optionally any one separator and a time of day
-# in basic or extended form with an optional decimal fraction and offset. Plain numbers and texts
-# already in Zulu form are left out.
+# in basic or extended form with an optional decimal fraction and offset. Plain numbers are left out.
 # Groups: 1 date, 2 hour, 3 time separator, 4 minute, 5 second, 6 fraction, 7 offset.
 ISO_SPELLING = (
-    r"^(?!0000)(?!\d+$)(?!.*T.*Z$)"
+    r"^(?!0000)(?!\d+$)"
     r"(\d{4}-\d{2}-\d{2}|\d{8}|\d{4}-\d{3}|\d{7}|\d{4}-W\d{2}-\d|\d{4}W\d{3}"
     r"|\d{4}-\d{2}(?=$)|\d{4}-?W\d{2}(?=$))"
     r"(?:[^0-9](\d{2})(?:(:?)(\d{2})(?:\3(\d{2})(?:[.,](\d+))?)?)?([Zz]|[+-]\d{2}(?::?\d{2})?)?)?$"
@@ -43,11 +42,6 @@ def trim_white(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITE_SPACE))
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often the body mentions it."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _int(text: Column, missing: int = 0) -> Column:
     return F.coalesce(text.try_cast("int"), F.lit(missing))
 
@@ -116,12 +110,13 @@ def _iso_instant(text: Column) -> Column:
         midnight = F.unix_date(_iso_date(p["date"])) * F.lit(86_400_000_000)
         return F.timestamp_micros(midnight + _time_of_day(p) - _offset(p))
 
-    return _let(text, lambda t: _let(parts(t), instant))
+    return let(text, lambda t: let(parts(t), instant))
 
 
 def normalize_trimmed(text: Column) -> Column:
     """:func:`normalize_timestamp` for a text already without surrounding white space."""
     return F.coalesce(
+        F.when(F.endswith(text, F.lit("Z")) & F.contains(text, F.lit("T")), text),
         F.when(text.rlike(COMMON_SPELLING), F.date_format(F.try_to_timestamp(text), ISO_MILLIS)),
         F.when(text.rlike(ISO_SPELLING), F.date_format(_iso_instant(text), ISO_MILLIS)),
         F.when((text != "") & (F.lower(text) != "null"), text),

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyedflow.config import MapGroup
+from keyedflow.functions.binding import let
 from keyedflow.functions.text import map_name
-from keyedflow.functions.timestamps import normalize_trimmed, trim_white
+from keyedflow.functions.timestamps import normalize_timestamp
 
 STRING_MAP = "map<string,string>"
 
@@ -33,32 +34,35 @@ def explode_items(df: DataFrame, items: str, name: str = "name", value: str = "v
     )
 
 
-def with_item_map(
-    df: DataFrame,
-    items: str,
+def item_map(
+    items: Column,
     names: Mapping[str, str],
-    out: str = "attributes",
-    values: Callable[[Column], Column] = normalize_trimmed,
-) -> DataFrame:
+    values: Callable[[Column], Column] = normalize_timestamp,
+) -> Column:
     """Fold a list of name/value entries into a map, row by row and without a shuffle.
 
     Names outside the dictionary are dropped, the last of several equal names wins, values are
-    trimmed and brought to the common time form, and a null list gives an empty map.
+    brought to the common time form, and a null or empty list gives an empty map. Work per row grows
+    with the length of the list times that of the dictionary at most.
     """
-    known = F.filter(F.col(items), lambda i: map_name(i["name"], names).isNotNull())
-    newest_first = df.withColumn("_known", F.reverse(known))
-    entries = newest_first.withColumns(
-        {
-            "_keys": F.transform("_known", lambda i: map_name(i["name"], names)),
-            "_values": F.transform("_known", lambda i: trim_white(i["value"]["value"])),
-        }
+    entries = F.transform(
+        items, lambda i: F.struct(map_name(i["name"], names).alias("name"), i["value"]["value"].alias("value"))
     )
-    first_values = F.transform(
-        F.array_distinct("_keys"),
-        lambda k: F.element_at("_values", F.array_position("_keys", k).cast("int")),
-    )
-    folded = F.map_from_arrays(F.array_distinct("_keys"), F.transform(first_values, values))
-    return entries.withColumn(out, F.coalesce(folded, empty_map())).drop("_known", "_keys", "_values")
+    known = F.reverse(F.filter(entries, lambda e: e["name"].isNotNull()))
+
+    def columns(e: Column) -> Column:
+        return F.struct(
+            F.array_distinct(e["name"]).alias("distinct"), e["name"].alias("names"), e["value"].alias("values")
+        )
+
+    def fold(c: Column) -> Column:
+        def newest(name: Column) -> Column:
+            return F.element_at(c["values"], F.array_position(c["names"], name).cast("int"))
+
+        chosen = F.transform(c["distinct"], newest)
+        return F.map_from_arrays(c["distinct"], F.transform(chosen, values))
+
+    return F.coalesce(let(known, lambda e: let(columns(e), fold)), empty_map())
 
 
 def pivot_rows(
@@ -94,19 +98,22 @@ def with_alias_keys(attributes: Column, aliases: Mapping[str, str]) -> Column:
     """Add further keys that repeat the value of existing ones, null where those are missing."""
     if not aliases:
         return attributes
-    pairs = [part for alias, key in aliases.items() for part in (F.lit(alias), attributes.getItem(key))]
-    return F.map_concat(attributes, F.create_map(*pairs))
+
+    def extended(m: Column) -> Column:
+        pairs = [part for alias, key in aliases.items() for part in (F.lit(alias), m[key])]
+        return F.map_concat(m, F.create_map(*pairs))
+
+    return let(attributes, extended)
 
 
-def fixed_map(attributes: Column, keys: Sequence[str]) -> Column:
-    """A map with exactly the given keys, null where the source has none."""
-    return F.create_map(*[part for k in keys for part in (F.lit(k), attributes.getItem(k))])
+def fixed_map(attributes: Column, keys: Column) -> Column:
+    """A map with exactly the listed keys, null where the source has none."""
+    return F.map_from_arrays(keys, F.transform(keys, lambda k: attributes[k]))
 
 
 def group_map(attributes: Column, group: MapGroup, kind: Column) -> Column:
     """One-element list of the group's map, with the further keys for rows of the group's kind."""
-    plain = fixed_map(attributes, group.keys)
-    if group.kind is None:
-        return F.array(plain)
-    full = fixed_map(attributes, group.keys + group.kind_keys)
-    return F.array(F.when(kind == group.kind, full).otherwise(plain))
+    keys = F.lit(list(group.keys))
+    if group.kind is not None:
+        keys = F.when(kind == group.kind, F.lit([*group.keys, *group.kind_keys])).otherwise(keys)
+    return F.array(fixed_map(attributes, keys))

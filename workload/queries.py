@@ -17,9 +17,9 @@ from keyedflow.operators.attributes import (
     attach_map,
     explode_items,
     group_map,
+    item_map,
     pivot_rows,
     with_alias_keys,
-    with_item_map,
 )
 from keyedflow.operators.keys import with_business_key
 from keyedflow.operators.latest import latest_per_key, latest_per_key_aggregated
@@ -234,7 +234,7 @@ def explode_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pivot_attributes_arrayform(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mapped = with_item_map(line_items(spark, sf_dir), "items", FLAG_NAMES)
+    mapped = line_items(spark, sf_dir).withColumn("attributes", item_map(F.col("items"), FLAG_NAMES))
     return mapped.select(
         *_line_key(),
         F.size("attributes").alias("n_attributes"),
