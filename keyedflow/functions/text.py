@@ -35,4 +35,4 @@ def map_name(name: Column, names: Mapping[str, str]) -> Column:
     The dictionary is a constant in the plan. One that is a table, or that grows, belongs in a join.
     """
     entries = [F.lit(part) for pair in names.items() for part in pair]
-    return F.create_map(*entries).getItem(name)
+    return F.create_map(*entries)[name]

@@ -28,7 +28,7 @@ ISO_SPELLING = (
     r"^(?!0000)(?!\d+$)"
     r"(\d{4}-\d{2}-\d{2}|\d{8}|\d{4}-\d{3}|\d{7}|\d{4}-W\d{2}-\d|\d{4}W\d{3}"
     r"|\d{4}-\d{2}(?=$)|\d{4}-?W\d{2}(?=$))"
-    r"(?:[^0-9](\d{2})(?:(:?)(\d{2})(?:\3(\d{2})(?:[.,](\d+))?)?)?([Zz]|[+-]\d{2}(?::?\d{2})?)?)?$"
+    r"(?:[^0-9](?=..)(?:(\d{2})(?:(:?)(\d{2})(?:\3(\d{2})(?:[.,](\d+))?)?)?)?([Zz]|[+-]\d{2}(?::?\d{2})?)?)?$"
 )
 LEADING_DAY = r"^((?!0000)\d{4}-\d{1,2}-\d{1,2})(?:T|$)"
 

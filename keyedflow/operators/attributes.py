@@ -60,7 +60,7 @@ def item_map(
             return F.element_at(c["values"], F.array_position(c["names"], name).cast("int"))
 
         chosen = F.transform(c["distinct"], newest)
-        return F.map_from_arrays(c["distinct"], F.transform(chosen, values))
+        return F.map_from_arrays(c["distinct"], F.transform(chosen, lambda v: values(v)))
 
     return F.coalesce(let(known, lambda e: let(columns(e), fold)), empty_map())
 
@@ -108,7 +108,11 @@ def with_alias_keys(attributes: Column, aliases: Mapping[str, str]) -> Column:
 
 def fixed_map(attributes: Column, keys: Column) -> Column:
     """A map with exactly the listed keys, null where the source has none."""
-    return F.map_from_arrays(keys, F.transform(keys, lambda k: attributes[k]))
+
+    def pick(bound: Column) -> Column:
+        return F.map_from_arrays(bound["keys"], F.transform(bound["keys"], lambda k: bound["source"][k]))
+
+    return let(F.struct(attributes.alias("source"), keys.alias("keys")), pick)
 
 
 def group_map(attributes: Column, group: MapGroup, kind: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from keyedflow.config import KeySpec, MapGroup
 from keyedflow.functions.json import is_valid_json
 from keyedflow.functions.text import map_name, strip_hyphens, strip_leading_zeros
-from keyedflow.functions.timestamps import iso_text, lag_seconds, normalize_timestamp, valid_date
+from keyedflow.functions.timestamps import iso_text, lag_seconds
 from keyedflow.operators import documents as docs
 from keyedflow.operators.attributes import (
     attach_map,
@@ -24,6 +24,7 @@ from keyedflow.operators.attributes import (
 from keyedflow.operators.keys import with_business_key
 from keyedflow.operators.latest import latest_per_key, latest_per_key_aggregated
 from keyedflow.operators.parse import all_present, parse_json
+from keyedflow.operators.times import normalize_timestamps, with_valid_date
 from keyedflow.plans.pipeline import batch_handler, file_sinks, process_batch
 from keyedflow.presets.flight import FLIGHT
 from keyedflow.session import scratch_folder
@@ -118,13 +119,14 @@ def business_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def normalized_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = spelled_time(F.col("ts"), F.col("k"), F.col("event_id"))
-    return events(spark, sf_dir).select("event_id", normalize_timestamp(text).alias("normalized"))
+    spelled = events(spark, sf_dir).select("event_id", text.alias("normalized"))
+    return normalize_timestamps(spelled, ["normalized"])
 
 
 def validated_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = spelled_time(F.col("ts"), F.col("k"), F.col("event_id"))
-    dated = events(spark, sf_dir).select("event_id", valid_date(text).alias("day"))
-    return dated.filter("day is not null")
+    spelled = events(spark, sf_dir).select("event_id", text.alias("text"))
+    return with_valid_date(spelled, "text", "day").filter("day is not null").drop("text")
 
 
 def mapped_names(spark: SparkSession, sf_dir: str) -> DataFrame:
