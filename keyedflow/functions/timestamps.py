@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from keyedflow.functions.binding import let
+from keyedflow.functions.binding import let_sql
 
 ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 DAY = "yyyy-MM-dd"
@@ -42,75 +42,52 @@ def trim_white(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITE_SPACE))
 
 
-def _int(text: Column, missing: int = 0) -> Column:
-    return F.coalesce(text.try_cast("int"), F.lit(missing))
-
-
-def _iso_date(date: Column) -> Column:
-    """The day an ISO date text without its dashes names, null when there is no such day."""
-    year = F.substring(date, 1, 4)
-    new_year = F.concat(year, F.lit("-01-01")).try_cast("date")
-    year_days = F.dayofyear(F.concat(year, F.lit("-12-31")).try_cast("date"))
-
-    month, day = F.substring(date, 5, 2), F.rpad(F.substring(date, 7, 2), 2, "01")
-    calendar = F.concat_ws("-", year, month, day).try_cast("date")
-
-    ordinal = F.substring(date, 5, 3).try_cast("int")
-    by_ordinal = F.when(ordinal.between(1, year_days), F.date_add(new_year, ordinal - 1))
-
-    week, weekday = _int(F.substring(date, 6, 2)), _int(F.substring(date, 8, 1), 1)
-    first_monday = F.trunc(F.date_add(new_year, 3), "week")
-    by_week = F.when(
-        week.between(1, 53) & weekday.between(1, 7),
-        F.date_add(first_monday, (week - 1) * 7 + weekday - 1),
-    )
-    return (
-        F.when(F.contains(date, F.lit("W")), by_week)
-        .when(F.length(date) == 7, by_ordinal)
-        .otherwise(calendar)
-    )
-
-
-def _time_of_day(p: Column) -> Column:
-    """Microseconds since midnight, null when out of range; 24:00 is the end of the day."""
-    hour, minute, second, micros = p["hour"], p["minute"], p["second"], p["micros"]
-    in_day = (hour < 24) | ((hour == 24) & (minute + second + micros == 0))
-    seconds = (hour * 60 + minute) * 60 + second
-    return F.when(in_day & (minute < 60) & (second < 60), seconds * F.lit(1_000_000).cast("long") + micros)
+# From the groups of ISO_SPELLING (date, hour, minute, second, fraction, offset) to numbers.
+ISO_PARTS = """
+g -> named_struct(
+  'date', replace(g[0], '-', ''),
+  'hour', coalesce(try_cast(g[1] AS int), 0),
+  'minute', coalesce(try_cast(g[2] AS int), 0),
+  'second', coalesce(try_cast(g[3] AS int), 0),
+  'micros', coalesce(try_cast(rpad(g[4], 6, '0') AS int), 0),
+  'sign', if(startswith(g[5], '-'), -1, 1),
+  'offset_hour', coalesce(try_cast(substring(g[5], 2, 2) AS int), 0),
+  'offset_minute', coalesce(try_cast(substring(replace(g[5], ':', ''), 4, 2) AS int), 0))
+"""
 
+# The day a date without dashes names: by week (2025W524), by day of the year (2025359) or by month.
+ISO_DAY = """
+CASE
+  WHEN contains(p.date, 'W') THEN
+    CASE WHEN substring(p.date, 6, 2) BETWEEN '01' AND '53' AND rpad(substring(p.date, 8, 1), 1, '1') BETWEEN '1' AND '7'
+    THEN date_add(
+      trunc(make_date(int(left(p.date, 4)), 1, 4), 'week'),
+      (int(substring(p.date, 6, 2)) - 1) * 7 + int(rpad(substring(p.date, 8, 1), 1, '1')) - 1) END
+  WHEN length(p.date) = 7 THEN
+    CASE WHEN int(right(p.date, 3)) BETWEEN 1 AND dayofyear(make_date(int(left(p.date, 4)), 12, 31))
+    THEN date_add(make_date(int(left(p.date, 4)), 1, 1), int(right(p.date, 3)) - 1) END
+  ELSE try_cast(
+    concat_ws('-', left(p.date, 4), substring(p.date, 5, 2), rpad(substring(p.date, 7, 2), 2, '01')) AS date)
+END
+"""
 
-def _offset(p: Column) -> Column:
-    """Microseconds that local time is ahead of UTC, null when out of range."""
-    minutes = p["offset_hours"] * 60 + p["offset_minutes"]
-    signed = F.when(p["behind"], -minutes).otherwise(minutes)
-    in_range = (p["offset_hours"] < 24) & (p["offset_minutes"] < 60)
-    return F.when(in_range, signed * F.lit(60_000_000).cast("long"))
+# The instant of those numbers, null when one is out of range; 24:00 is the end of the day.
+ISO_INSTANT = f"""
+p -> CASE
+  WHEN (p.hour < 24 OR (p.hour = 24 AND p.minute + p.second + p.micros = 0))
+    AND p.minute < 60 AND p.second < 60 AND p.offset_hour < 24 AND p.offset_minute < 60
+  THEN timestamp_micros(
+    unix_date({ISO_DAY}) * 86400000000
+    + ((p.hour - p.sign * p.offset_hour) * 60 + p.minute - p.sign * p.offset_minute) * 60000000L
+    + p.second * 1000000L + p.micros)
+END
+"""
 
 
 def _iso_instant(text: Column) -> Column:
     """Instant of a text that matches ``ISO_SPELLING``; no offset means UTC; null when out of range."""
-
-    def parts(t: Column) -> Column:
-        def group(i: int) -> Column:
-            return F.regexp_extract(t, ISO_SPELLING, i)
-
-        offset = F.replace(group(7), F.lit(":"), F.lit(""))
-        return F.struct(
-            F.replace(group(1), F.lit("-"), F.lit("")).alias("date"),
-            _int(group(2)).alias("hour"),
-            _int(group(4)).alias("minute"),
-            _int(group(5)).alias("second"),
-            _int(F.rpad(group(6), 6, "0")).alias("micros"),
-            F.startswith(offset, F.lit("-")).alias("behind"),
-            _int(F.substring(offset, 2, 2)).alias("offset_hours"),
-            _int(F.substring(offset, 4, 2)).alias("offset_minutes"),
-        )
-
-    def instant(p: Column) -> Column:
-        midnight = F.unix_date(_iso_date(p["date"])) * F.lit(86_400_000_000)
-        return F.timestamp_micros(midnight + _time_of_day(p) - _offset(p))
-
-    return let(text, lambda t: let(parts(t), instant))
+    groups = F.split(F.regexp_replace(text, ISO_SPELLING, "$1|$2|$4|$5|$6|$7"), r"\|")
+    return let_sql(let_sql(groups, ISO_PARTS), ISO_INSTANT)
 
 
 def normalize_trimmed(text: Column) -> Column:

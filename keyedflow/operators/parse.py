@@ -45,10 +45,10 @@ def all_present(columns: Iterable[str]) -> Column:
     return condition
 
 
-def reject_reason(message: str, required: Iterable[str], day: Column) -> Column:
+def reject_reason(broken: Column, required: Iterable[str], day: Column) -> Column:
     """Why a row cannot become a document; null for a good row."""
     return (
-        F.when(F.col(message).isNull(), INVALID_JSON)
+        F.when(broken, INVALID_JSON)
         .when(~all_present(required), MISSING_FIELD)
         .when(day.isNull(), INVALID_DATE)
     )

@@ -1,0 +1,18 @@
+"""Enough partitions for work that costs far more than its input is large."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, rows: int | None = None, rows_per_task: int = 1000) -> DataFrame:
+    """Deal rows out evenly when they come in fewer partitions than there are cores.
+
+    Parsing takes long next to reading, and a source with few partitions would leave most cores
+    idle. Frames with enough partitions pass as they are, so a large scan is never shuffled. With a
+    known row count, small batches stay together.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    if rows is not None:
+        wanted = min(wanted, max(1, rows // rows_per_task))
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df

@@ -24,6 +24,7 @@ from keyedflow.operators.attributes import (
 from keyedflow.operators.keys import with_business_key
 from keyedflow.operators.latest import latest_per_key, latest_per_key_aggregated
 from keyedflow.operators.parse import all_present, parse_json
+from keyedflow.operators.spread import spread
 from keyedflow.operators.times import normalize_timestamps, with_valid_date
 from keyedflow.plans.pipeline import batch_handler, file_sinks, process_batch
 from keyedflow.presets.flight import FLIGHT
@@ -34,7 +35,7 @@ from keyedflow.sinks.snapshot import Snapshot
 from keyedflow.sources.messages import MessageSource, decode, read_stream
 from keyedflow.sources.settings import newest_row
 from keyedflow.streaming.runner import start_stream
-from workload.tables import events, flight_messages, spelled_time, table
+from workload.tables import events, flight_messages, spelled_time, spread_events, table
 
 MESSAGES = MessageSource("table")
 LINE_NAMES = {f"L.{n}": f"line_{n}" for n in range(1, 8)}
@@ -119,13 +120,13 @@ def business_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def normalized_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = spelled_time(F.col("ts"), F.col("k"), F.col("event_id"))
-    spelled = events(spark, sf_dir).select("event_id", text.alias("normalized"))
+    spelled = spread_events(spark, sf_dir).select("event_id", text.alias("normalized"))
     return normalize_timestamps(spelled, ["normalized"])
 
 
 def validated_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = spelled_time(F.col("ts"), F.col("k"), F.col("event_id"))
-    spelled = events(spark, sf_dir).select("event_id", text.alias("text"))
+    spelled = spread_events(spark, sf_dir).select("event_id", text.alias("text"))
     return with_valid_date(spelled, "text", "day").filter("day is not null").drop("text")
 
 
@@ -210,7 +211,7 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         item(F.lit(None).cast("string"), F.col("l_partkey")),
         item(flag, F.concat(F.lit(" "), F.col("l_partkey"), F.lit(" "))),
     )
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem")).select(
         "l_orderkey",
         "l_linenumber",
         "l_shipdate",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keyedflow.operators.spread import spread
 from keyedflow.session import use_utc
 
 
@@ -19,6 +20,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events on all cores, for queries that take long per row."""
+    return spread(events(spark, sf_dir))
+
+
 def stamp(ts: Column, rest: str = "") -> Column:
     """``yyyy-MM-ddTHH:mm:ss.SSS`` and a literal rest."""
     return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit(rest))
@@ -70,7 +76,7 @@ def flight_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``error`` events give broken JSON; ``k`` decides on missing fields, bad dates, lists and spelling.
     """
-    e = events(spark, sf_dir)
+    e = spread_events(spark, sf_dir)
     ts, k, kind = F.col("ts"), F.col("k"), F.col("event_type")
     midnight = F.date_trunc("day", ts)
     carrier = F.when(kind == "click", "EY").when(kind == "view", "qr").when(kind == "purchase", "").otherwise("AB")
