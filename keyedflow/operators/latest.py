@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -26,35 +26,24 @@ def latest_per_key_aggregated(df: DataFrame, keys: Sequence[str], order: Sequenc
     return df.groupBy(*keys).agg(newest).select(*keys, "_newest.*").select(*df.columns)
 
 
-def _order(columns: Sequence[str], prefix: str = "") -> Column:
-    return F.struct(*[F.col(prefix + c).alias(c) for c in columns])
-
-
 def merge_newer(
     base: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """Upsert ``changes`` into ``base`` where they are newer; ``base`` has one row per key.
 
-    Only two narrow questions are asked of the large side: which of its keys the changes touch, and
-    which of its rows lose. Spark broadcasts the changes for both when they are below
-    ``spark.sql.autoBroadcastJoinThreshold``, and then ``base`` is not shuffled at all; above it both
-    become shuffled joins, which AQE splits where a key range is large.
+    Rows of ``base`` whose key is not among the changes pass through; the others compete with the
+    changes. Spark broadcasts the changed keys when they are below
+    ``spark.sql.autoBroadcastJoinThreshold``, and then ``base`` is not shuffled; above it the two
+    joins share one shuffle of ``base``. On a tie ``base`` holds.
     """
-    newest = latest_per_key(changes, keys, order)
-
-    def same_key(left: str, right: str) -> Column:
-        condition = F.lit(True)
-        for k in keys:
-            condition = condition & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
-        return condition
-
-    narrow = list(dict.fromkeys([*keys, *order]))
-    touched = (
-        base.select(*narrow)
-        .alias("b")
-        .join(newest.select(*keys).alias("n"), same_key("b", "n"), "left_semi")
+    changed = changes.select(*keys).alias("changed")
+    same_key = F.lit(True)
+    for k in keys:
+        same_key = same_key & F.col(f"base.{k}").eqNullSafe(F.col(f"changed.{k}"))
+    untouched = base.alias("base").join(changed, same_key, "left_anti")
+    touched = base.alias("base").join(changed, same_key, "left_semi")
+    rivals = touched.withColumn("_held", F.lit(True)).unionByName(
+        changes.select(*base.columns).withColumn("_held", F.lit(False))
     )
-    holds = _order(order, "t.") >= _order(order, "n.")
-    winning = newest.alias("n").join(touched.alias("t"), same_key("n", "t") & holds, "left_anti")
-    kept = base.alias("b").join(winning.select(*keys).alias("w"), same_key("b", "w"), "left_anti")
-    return kept.unionByName(winning.select(*base.columns))
+    newest = latest_per_key(rivals, keys, [*order, "_held"]).drop("_held")
+    return untouched.unionByName(newest)

@@ -10,7 +10,8 @@ def spread(df: DataFrame, rows: int | None = None, rows_per_task: int = 1000) ->
 
     Parsing takes long next to reading, and a source with few partitions would leave most cores
     idle. Frames with enough partitions pass as they are, so a large scan is never shuffled. With a
-    known row count, small batches stay together.
+    known row count, small batches stay together. Meant for scans: counting the partitions of a
+    frame that joins or aggregates would run its shuffles.
     """
     wanted = df.sparkSession.sparkContext.defaultParallelism
     if rows is not None:

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 
+def read_settings(spark: SparkSession, path: str, format: str | None = None) -> DataFrame:
+    """The settings table, in the session's default format unless told otherwise."""
+    return spark.read.load(path, format=format)
+
+
 def newest_row(df: DataFrame, condition: str | Column, order: Sequence[str]) -> DataFrame:
     """The one row with the greatest ``order`` among those meeting the condition."""
     newest_first = [F.col(c).desc_nulls_last() for c in order]

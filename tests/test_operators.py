@@ -115,7 +115,8 @@ def test_merge_newer_shuffles_no_wide_base_for_few_changes(spark, tmp_path):
     base, changes = (spark.read.parquet(str(tmp_path / p)) for p in ("b", "c"))
     merged = merge_newer(base, changes, ["k"], ["t"])
     plan = plan_of(merged)
-    assert "SortMergeJoin" not in plan[: plan.index("\n\n")]
+    tree = plan[: plan.index("\n\n")]
+    assert "SortMergeJoin" not in tree and tree.count(" Exchange") == 1
     assert merged.count() == 100_000 and merged.filter("v = 'new'").count() == 10
 
 
@@ -163,6 +164,24 @@ def test_item_map_equals_rows_form(spark):
     assert attached[0].m == direct[0].m == {"a": "4", "b": "2025-12-25"}
 
 
+def test_a_key_with_a_third_of_all_rows(spark):
+    """It reaches the second shuffle with one row per partition, and its list is as long as the dictionary."""
+    n = 60_000
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"),
+        F.element_at(F.lit(["A", "B", "X"]), (F.col("id") % 2 + 1).cast("int")).alias("name"),
+        F.col("id").cast("string").alias("value"),
+        "id",
+    )
+    maps = pivot_rows(rows, ["k"], "name", "value", ["id"], NAMES, "m")
+    plan = plan_of(maps)
+    assert plan[: plan.index("\n\n")].count("SortAggregate") == 2
+    assert maps.count() == 1 + n - n // 3
+    assert maps.filter("k = -1").first().m == {"a": str(n - 6), "b": str(n - 3)}
+    newest = latest_per_key(rows, ["k"], ["id"])
+    assert newest.count() == 1 + n - n // 3 and newest.filter("k = -1").first().id == n - 3
+
+
 def test_explode_keeps_rows_without_items(spark):
     rows = explode_items(items_of(spark, LISTS), "items").groupBy("i").count().orderBy("i").collect()
     assert [r["count"] for r in rows] == [5, 2, 1, 1, 1, 2]

@@ -33,7 +33,7 @@ from keyedflow.sinks import snapshot
 from keyedflow.sinks.append import AppendTable, BatchId, append_batch, read_appended
 from keyedflow.sinks.snapshot import Snapshot
 from keyedflow.sources.messages import MessageSource, decode, read_stream
-from keyedflow.sources.settings import newest_row
+from keyedflow.sources.settings import newest_row, read_settings
 from keyedflow.streaming.runner import start_stream
 from workload.tables import events, flight_messages, spelled_time, spread_events, table
 
@@ -353,7 +353,7 @@ def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top1_config(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    orders = read_settings(spark, f"{sf_dir}/orders.parquet")
     newest = newest_row(orders, "o_orderstatus = 'F'", ["o_orderdate", "o_orderkey"])
     return newest.select("o_orderkey", "o_custkey", "o_orderstatus")
 
