@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column
 from pyspark.sql import types as T
@@ -82,3 +82,11 @@ class MessageConfig:
         clash = set(self.aliases) & set(self.names.values())
         if clash:
             raise ValueError(f"alias keys repeat dictionary names: {sorted(clash)}")
+
+    def narrowed(self) -> MessageConfig:
+        """The same messages with only the fields that decide on rejects and make up the key."""
+        needed = {*self.required, self.day, self.key.number, self.key.day, self.key.place}
+        fields = tuple(f for f in self.fields if f.target in needed)
+        sources = {f.source for f in fields}
+        schema = T.StructType([f for f in self.schema if f.name in sources])
+        return replace(self, fields=fields, schema=schema)

@@ -195,21 +195,21 @@ p AS (
 SELECT o_orderkey, concat_ws('-', coalesce(carrier, 'no_carrier'), coalesce(number, 'no_fn'),
          strftime(o_orderdate, '%Y-%m-%d'), coalesce(place, 'no_orig')) AS key, number, carrier, kind
 FROM p""",
-    "normalized_time": f"WITH {EVENTS} SELECT event_id, {NORMALIZED} AS normalized FROM e",
-    "validated_date": f"""
+    "normalize_timestamp": f"WITH {EVENTS} SELECT event_id, {NORMALIZED} AS normalized FROM e",
+    "validate_date": f"""
 WITH {EVENTS}
 SELECT event_id, left({NORMALIZED}, 10) AS day FROM e WHERE k >= 25""",
-    "mapped_names": """
+    "map_names": """
 SELECT event_id, CASE event_type WHEN 'click' THEN 'clicked' WHEN 'view' THEN 'viewed'
                                  WHEN 'purchase' THEN 'bought' END AS friendly_name
 FROM events WHERE event_type IN ('click', 'view', 'purchase')""",
-    "cleaned_texts": """
+    "strip_and_upper": """
 SELECT o_orderkey, replace(o_orderpriority, '-', '') AS priority, upper(o_orderstatus) AS status,
        regexp_replace(lpad(CAST(o_orderkey AS VARCHAR), 12, '0'), '^0+', '') AS number
 FROM orders""",
     "null_rules_main": f"""
 SELECT * FROM ({GAPS}) WHERE acdm_id IS NOT NULL AND flight_number IS NOT NULL AND scheduledate IS NOT NULL""",
-    "null_rules_key_log": f"""
+    "null_rules_keylog": f"""
 SELECT * FROM ({GAPS}) WHERE flight_number IS NOT NULL AND scheduledate IS NOT NULL AND origin IS NOT NULL""",
     "latest_per_key_window": LATEST_EVENTS,
     "latest_per_key_maxby": LATEST_EVENTS,
@@ -279,6 +279,7 @@ FROM events""",
 SELECT props AS json_body, strftime(ts, '{MILLIS}Z') AS enqueued, event_id AS "sequenceNumber" FROM events""",
     "stream_documents": DOCUMENTS,
     "stream_key_log": KEY_LOG,
+    "stream_latest": LATEST_EVENT_VALUES,
     "stream_replay": f"""
 SELECT event_id AS "sequenceNumber", strftime(ts, '{MILLIS}Z') AS enqueued FROM events""",
 }
