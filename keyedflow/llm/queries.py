@@ -4,24 +4,48 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyedflow.llm import decontaminate, exact, simhash
+from keyedflow.llm import decontaminate, exact, packing, simhash, token_counts, token_files
 from keyedflow.llm.common import table
 
+#: A file of the installed public tokenizers.
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(TOKENIZER))
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
+
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op3_decontamination": op3_decontamination,
+    "op4_token_files": op4_token_files,
     "op5_simhash": op5_simhash,
+    "op8_packing": op8_packing,
     "op10_exact_dedup": op10_exact_dedup,
 }
