@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyedflow.llm import decontaminate, exact, packing, simhash, token_counts, token_files
+from keyedflow.llm import decontaminate, exact, packing, pii, simhash, token_counts, token_files
 from keyedflow.llm.common import table
 
 #: A file of the installed public tokenizers.
@@ -37,6 +37,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -47,5 +51,6 @@ QUERIES = {
     "op4_token_files": op4_token_files,
     "op5_simhash": op5_simhash,
     "op8_packing": op8_packing,
+    "op9_personal_data": op9_personal_data,
     "op10_exact_dedup": op10_exact_dedup,
 }
