@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyedflow.llm import decontaminate, exact, packing, pii, simhash, token_counts, token_files
+from keyedflow.llm import decontaminate, exact, language, packing, pii, simhash, token_counts, token_files
 from keyedflow.llm.common import table
 
 #: A file of the installed public tokenizers.
@@ -33,6 +33,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_token_files": op4_token_files,
     "op5_simhash": op5_simhash,
+    "op6_language": op6_language,
     "op8_packing": op8_packing,
     "op9_personal_data": op9_personal_data,
     "op10_exact_dedup": op10_exact_dedup,
