@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyedflow.llm import decontaminate, exact, language, packing, pii, simhash, token_counts, token_files
+from keyedflow.llm import decontaminate, exact, html_text, language, packing, pii, simhash, token_counts, token_files
 from keyedflow.llm.common import table
 
 #: A file of the installed public tokenizers.
@@ -37,6 +37,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -55,6 +59,7 @@ QUERIES = {
     "op4_token_files": op4_token_files,
     "op5_simhash": op5_simhash,
     "op6_language": op6_language,
+    "op7_main_text": op7_main_text,
     "op8_packing": op8_packing,
     "op9_personal_data": op9_personal_data,
     "op10_exact_dedup": op10_exact_dedup,
