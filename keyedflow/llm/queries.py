@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyedflow.llm import decontaminate, exact, html_text, language, packing, pii, simhash, token_counts, token_files
+from keyedflow.llm import decontaminate, exact, html_text, language, packing, pii, repeats, simhash, token_counts, token_files
 from keyedflow.llm.common import table
 
 #: A file of the installed public tokenizers.
@@ -21,6 +21,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_passages(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -55,6 +59,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_repeated_passages": op2_repeated_passages,
     "op3_decontamination": op3_decontamination,
     "op4_token_files": op4_token_files,
     "op5_simhash": op5_simhash,

@@ -246,7 +246,7 @@ def simhash_duplicates(rows: DataFrame, id_col: str = "doc_id", text_col: str =
     )
 
 
-def drop_near_duplicates(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
+def drop_near_duplicates(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """The input with one row of each component, the one with the smallest identifier (then row number).
 
     ``rows`` has to be a scan of files, so that row numbers hold over both readings.
