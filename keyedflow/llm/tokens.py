@@ -4,19 +4,55 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable
+from array import array
+from collections.abc import Callable, Iterable
 
-import numpy as np
-
-#: Words whose ids a worker keeps, and the longest word that is kept.
-CACHE_WORDS, CACHE_LENGTH = 400_000, 48
-#: Words that are handed to the tokenizer at once.
-ENCODE_AT_ONCE = 8_192
+#: Words whose ids a worker keeps, and the longest that is kept.
+CACHE_WORDS, CACHE_LENGTH = 700_000, 48
 
 #: A space between two white-space characters, or between one and the end.
 LOOSE_SPACE = re.compile(r"\s (?:\s|$)")
 #: A space after a visible ASCII character.
 TIGHT_SPACE = re.compile(r"(?<=[!-~])(?= )")
+# Letters of ASCII and Latin-1, digits, ASCII signs (but the apostrophe, which starts contractions) and single
+# line ends: the pre-tokenizer makes each such run one word, whatever stands around it.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_RUNS = ("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+", "[0-9]+", r"[!-&(-/:-@\[-`{-~]+", r"\n(?!\n)")
+PARTS = re.compile("|".join(_RUNS))
+PARTED = re.compile(f"(?!\n)(?:{'|'.join(_RUNS)})+")
+
+
+class Recent(dict):
+    """What ``make`` gives for a word. Keeps the words used most recently, in two generations."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.make(word)
+        if len(word) <= CACHE_LENGTH:
+            if len(self) * 2 >= CACHE_WORDS:
+                self.old = self.copy()
+                self.clear()
+            self[word] = ids
+        return ids
+
+
+class Words(Recent):
+    """Ids of words after a space. A word with signs after it is put together, not kept."""
+
+    def __init__(self, make: Callable[[str], bytes], signs: Recent):
+        super().__init__(make)
+        self.signs = signs
+
+    def __missing__(self, word: str) -> bytes:
+        core = word.rstrip(SIGNS)
+        if len(core) < len(word) and core.isalpha():
+            return self[core] + self.signs[word[len(core) :]]
+        return super().__missing__(word)
 
 
 class Encoder:
@@ -30,44 +66,49 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.words: dict[str, bytes] = {}  # without the space before them
-        self.size = self.tokenizer.get_vocab_size()
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        found: list[bytes] = []
-        for at in range(0, len(texts), ENCODE_AT_ONCE):
-            batch = self.tokenizer.encode_batch_fast(texts[at : at + ENCODE_AT_ONCE], add_special_tokens=False)
-            found.extend(np.array(e.ids, "<u4").tobytes() for e in batch)
-        return found
+        self.model = self.tokenizer.model
+        # How the byte-level vocabulary spells bytes: itself tells, character by character.
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelling = {b: spell(chr(b))[0][0] for b in range(128)}
+        wide = [spell(chr(64 * a + b))[0][0] for a in (2, 3) for b in range(64)]
+        self.spelling |= {0xC2: wide[0][0], 0xC3: wide[64][0]} | {0x80 + b: wide[b][1] for b in range(64)}
+        self.parts = Recent(self._part)
+        self.words = Words(self._word, self.parts)
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        """Ids of one word of the pre-tokenizer, made of characters up to U+00FF."""
+        spelled = part.encode().decode("latin-1").translate(self.spelling)
+        return array("I", [token.id for token in self.model.tokenize(spelled)]).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a word after a space, from those of its parts where these stand alone."""
+        if word.isalpha() and (word.isascii() or max(word) <= "\u00ff"):
+            return self._part(" " + word)
+        if not PARTED.fullmatch(word):
+            return self._whole(" " + word)
+        first, *rest = PARTS.findall(word)
+        head = self.words[first] if first.isalpha() else self.parts[" " + first]
+        return head + b"".join(map(self.parts.__getitem__, rest))
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """For every text its ids as little-endian unsigned 32-bit integers."""
-        heads: list[str] = []
-        tails: list[list[str]] = []
+        found: list[bytes] = []
+        word = self.words.__getitem__
         for text in texts:
             if LOOSE_SPACE.search(text):
                 head, *rest = TIGHT_SPACE.split(text)
                 tail = [part[1:] for part in rest]
             else:
                 head, *tail = text.split(" ")
-            heads.append(head)
-            tails.append(tail)
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        words = self.words
-        missing = list({part for tail in tails for part in tail if part not in words})
-        long: dict[str, bytes] = {}
-        for part, ids in zip(missing, self._encoded([" " + part for part in missing]), strict=True):
-            (words if len(part) <= CACHE_LENGTH else long)[part] = ids
-        known = {**words, **long} if long and len(long) * 4 > len(words) else None
-        get = known.__getitem__ if known is not None else (lambda p: words.get(p) or long[p]) if long else words.__getitem__
-        return [
-            head + b"".join(map(get, tail)) for head, tail in zip(self._encoded(heads), tails, strict=True)
-        ]
+            found.append(self._whole(head) + b"".join(map(word, tail)))
+        return found
 
 
 _ENCODERS: dict[str, Encoder] = {}
