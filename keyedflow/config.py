@@ -24,7 +24,8 @@ class Field:
 class KeySpec:
     """Columns and patterns a business key is made of.
 
-    The key reads ``carrier-number-day-place``; the fall-back words stand in for nulls only.
+    The key reads ``carrier-number-day-place``; the fall-back words stand in for nulls only; where
+    there is no such word the part is left out.
     """
 
     number: str = "number"
@@ -35,10 +36,10 @@ class KeySpec:
     carrier: str = "carrier"
     carrier_pattern: str = LEADING_LETTERS
     number_pattern: str = TRAILING_DIGITS
-    no_carrier: str = "no_carrier"
-    no_number: str = "no_fn"
-    no_day: str = "no_date"
-    no_place: str = "no_orig"
+    no_carrier: str | None = None
+    no_number: str | None = None
+    no_day: str | None = None
+    no_place: str | None = None
 
 
 @dataclass(frozen=True)
@@ -77,6 +78,9 @@ class MessageConfig:
     aliases: Mapping[str, str] = field(default_factory=dict)
     lifted: tuple[str, ...] = ()
     normalized: tuple[str, ...] = ()
+    #: Columns stamped with the time of processing: of documents with their patterns, and of the key log.
+    document_stamps: Mapping[str, str] = field(default_factory=dict)
+    log_stamps: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         clash = set(self.aliases) & set(self.names.values())

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The parts of a flight number.
 LEADING_LETTERS = r"^([A-Za-z]+)"
 TRAILING_DIGITS = r"(\d+)$"
 

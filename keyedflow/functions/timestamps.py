@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from keyedflow.functions.binding import let_sql
+from keyedflow.functions.binding import let, let_sql
 
 ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 DAY = "yyyy-MM-dd"
@@ -90,12 +90,19 @@ def _iso_instant(text: Column) -> Column:
     return let_sql(let_sql(groups, ISO_PARTS), ISO_INSTANT)
 
 
+def _four_digit_years(written: Column) -> Column:
+    """The written form, or null when an offset has moved it out of the years 0001 to 9999."""
+    return F.when((F.length(written) == 24) & ~F.startswith(written, F.lit("0000")), written)
+
+
 def normalize_trimmed(text: Column) -> Column:
     """:func:`normalize_timestamp` for a text already without surrounding white space."""
+    common = let(F.date_format(F.try_to_timestamp(text), ISO_MILLIS), _four_digit_years)
+    other = let(F.date_format(_iso_instant(text), ISO_MILLIS), _four_digit_years)
     return F.coalesce(
         F.when(F.endswith(text, F.lit("Z")) & F.contains(text, F.lit("T")), text),
-        F.when(text.rlike(COMMON_SPELLING), F.date_format(F.try_to_timestamp(text), ISO_MILLIS)),
-        F.when(text.rlike(ISO_SPELLING), F.date_format(_iso_instant(text), ISO_MILLIS)),
+        F.when(text.rlike(COMMON_SPELLING), common),
+        F.when(text.rlike(ISO_SPELLING), other),
         F.when((text != "") & (F.lower(text) != "null"), text),
     )
 

@@ -73,18 +73,26 @@ def pivot_rows(
     order: Sequence[str],
     names: Mapping[str, str],
     out: str = "attributes",
+    values: Callable[[Column], Column] = normalize_timestamp,
 ) -> DataFrame:
     """The same fold for entries that arrive as rows of their own: one map per key.
 
-    Entries are first reduced to the newest per key and name, partly before the shuffle, so that the
-    lists collected afterwards are never longer than the dictionary, however many rows a key has.
+    One aggregate keeps the newest value of each dictionary entry, partly before the only shuffle, so a key
+    sends one row per partition, with no more values than the dictionary has, however many rows it has.
     """
-    known = df.withColumn("_name", map_name(F.col(name), names)).filter("_name is not null")
-    newest = known.groupBy(*keys, "_name").agg(
-        F.max_by(F.col(value), F.struct(*order)).alias("_value")
-    )
-    entries = F.collect_list(F.struct("_name", "_value"))
-    return newest.groupBy(*keys).agg(F.map_from_entries(entries).alias(out))
+    targets = sorted(set(names.values()))
+    mapped = df.withColumn("_name", map_name(F.col(name), names)).filter("_name is not null")
+    found = F.struct(F.col(value).alias("value"))
+
+    def newest(target: str) -> Column:
+        mine = F.col("_name") == target
+        return F.max_by(F.when(mine, found), F.when(mine, F.struct(*order)))
+
+    folded = mapped.groupBy(*keys).agg(*[newest(t).alias(f"_{i}") for i, t in enumerate(targets)])
+    entries = F.array(*[F.struct(F.lit(t).alias("name"), F.col(f"_{i}").alias("held")) for i, t in enumerate(targets)])
+    present = F.filter(entries, lambda e: e["held"].isNotNull())
+    pairs = F.transform(present, lambda e: F.struct(e["name"], values(e["held"]["value"])))
+    return folded.select(*keys, F.map_from_entries(pairs).alias(out))
 
 
 def attach_map(

@@ -31,19 +31,26 @@ def merge_newer(
 ) -> DataFrame:
     """Upsert ``changes`` into ``base`` where they are newer; ``base`` has one row per key.
 
-    Rows of ``base`` whose key is not among the changes pass through; the others compete with the
-    changes. Spark broadcasts the changed keys when they are below
-    ``spark.sql.autoBroadcastJoinThreshold``, and then ``base`` is not shuffled; above it the two
-    joins share one shuffle of ``base``. On a tie ``base`` holds.
+    Every row of ``base`` is joined with the newest change of its key, if there is one, and gives way to a
+    newer one; changes of new keys are found with the key columns of ``base`` alone, of which only
+    those among the changes go on. Spark broadcasts changes below
+    ``spark.sql.autoBroadcastJoinThreshold``, and then ``base`` is not shuffled. Keys come straight
+    from either side, so that filters on them reach both scans. Nulls in ``order`` are older than all else. On a tie ``base`` holds.
     """
-    changed = changes.select(*keys).alias("changed")
-    same_key = F.lit(True)
+    newest = latest_per_key(changes, keys, order)
+    changed = newest.select(F.struct(*base.columns).alias("change"), *[F.col(k).alias(f"_key_{k}") for k in keys])
+    held = base.select(F.struct(*base.columns).alias("held"), *keys)
+    same_key, newer, equal = F.lit(True), F.lit(False), F.lit(True)
     for k in keys:
-        same_key = same_key & F.col(f"base.{k}").eqNullSafe(F.col(f"changed.{k}"))
-    untouched = base.alias("base").join(changed, same_key, "left_anti")
-    touched = base.alias("base").join(changed, same_key, "left_semi")
-    rivals = touched.withColumn("_held", F.lit(True)).unionByName(
-        changes.select(*base.columns).withColumn("_held", F.lit(False))
-    )
-    newest = latest_per_key(rivals, keys, [*order, "_held"]).drop("_held")
-    return untouched.unionByName(newest)
+        same_key = same_key & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    for c in order:
+        mine, other = F.col(f"held.{c}"), F.col(f"change.{c}")
+        greater = F.coalesce(other > mine, other.isNotNull() & mine.isNull())
+        newer, equal = newer | (equal & greater), equal & mine.eqNullSafe(other)
+    joined = held.join(changed, same_key, "left")
+    chosen = F.when(F.col("change").isNotNull() & newer, F.col("change")).otherwise(F.col("held"))
+    known = base.select(*keys).join(changed, same_key, "left_semi")
+    fresh = changed.join(known, same_key, "left_anti")
+    return joined.select(
+        *[F.col(c) if c in keys else chosen[c].alias(c) for c in base.columns]
+    ).unionByName(fresh.select(*[F.col(f"_key_{c}").alias(c) if c in keys else f"change.{c}" for c in base.columns]))

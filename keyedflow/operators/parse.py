@@ -9,23 +9,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyedflow.config import Field
-from keyedflow.functions.json import STRICT_JSON
+from keyedflow.functions.json import STRICT_JSON, in_object, is_one_value
 
 INVALID_JSON = "invalid_json"
 MISSING_FIELD = "missing_field"
 INVALID_DATE = "invalid_date"
+INVALID_ENQUEUE_TIME = "invalid_enqueue_time"
 
 
 def parse_json(df: DataFrame, body: str, schema: T.StructType, out: str = "message") -> DataFrame:
     """Add struct column ``out``: the object in ``body``, or null when that is not one JSON object.
 
-    The text is parsed as the only member of an outer object, so text after the object makes it
-    invalid. Going through a generator keeps the parser out of later filters, where the optimizer
-    would otherwise repeat it once per condition.
+    Text after the object makes it invalid, see ``is_one_value``. Going through a generator keeps the
+    parser out of later filters, where the optimizer would otherwise repeat it once per condition.
     """
-    wrapped = F.concat(F.lit('{"m":'), F.col(body), F.lit("}"))
-    parsed = F.from_json(wrapped, T.StructType([T.StructField("m", schema)]), STRICT_JSON)
-    return df.select("*", F.explode(F.array(parsed["m"])).alias(out))
+    text = F.col(body)
+    parsed = F.from_json(in_object(text), T.StructType([T.StructField("m", schema)]), STRICT_JSON)
+    whole = F.when(is_one_value(text), parsed["m"])
+    return df.select("*", F.explode(F.array(whole)).alias(out))
 
 
 def flatten(message: str, fields: Iterable[Field]) -> list[Column]:
@@ -45,12 +46,13 @@ def all_present(columns: Iterable[str]) -> Column:
     return condition
 
 
-def reject_reason(broken: Column, required: Iterable[str], day: Column) -> Column:
+def reject_reason(broken: Column, required: Iterable[str], day: Column, enqueued: Column) -> Column:
     """Why a row cannot become a document; null for a good row."""
     return (
         F.when(broken, INVALID_JSON)
         .when(~all_present(required), MISSING_FIELD)
         .when(day.isNull(), INVALID_DATE)
+        .when(enqueued.isNull(), INVALID_ENQUEUE_TIME)
     )
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -26,13 +25,8 @@ def require_utc(spark: SparkSession) -> None:
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
-
-    Only a local session may do without that setting.
-    """
+    """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="keyedflow-")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -44,6 +44,10 @@ NORMALIZED = {
     "not-a-date": "not-a-date",
     "10:30": "10:30",
     "2025-1-5": "2025-1-5",
+    "9999-12-31T23:59-05:00": "9999-12-31T23:59-05:00",
+    "99991231T2359-0500": "99991231T2359-0500",
+    "0001-01-01T00:00+05:00": "0001-01-01T00:00+05:00",
+    "0001-01-01T05:00+05:00": "0001-01-01T00:00:00.000Z",
 }
 
 
@@ -148,6 +152,7 @@ def test_json_validity_like_the_json_module(spark):
         '{"a": 1}', "not-json", "", " ", "null", "5", "[1, 2]", '"s"', "NaN", "-Infinity", '{"a":1,"a":2}',
         "{'a':1}", "{}", '{"a":1} tail', '{"a":1}{"b":2}', '{"a":1},{"b":2}', '{"a":1', '{"a":1,}', '{"a":01}',
         '{"a":"\x01"}', '{"a":"\\x"}', " {} \n", "tru", "true", ".5", "1.", "+1", "1e5", '["a",]', "// c\n{}",
+        "1],[2", '{"a":1}],[', '{"a":1}] junk', '1,"m":2', '{"a":1}} x {"', '{"a":1},"m":{"b":2}', '1],["m"', "1}", "1]",
     ]
 
     def valid(text):

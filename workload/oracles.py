@@ -2,7 +2,35 @@
 
 from __future__ import annotations
 
-from keyedflow.presets.flight import DEPARTURE_NAMES, DUAL_NAMES, FLIGHT
+# Event names as documents spell them, in the dictionary's order, and the keys of both maps.
+EVENT_NAMES = (
+    "disembarking_start", "disembarking_finish", "arrival_dispatcher_on_stand", "pbb_connected",
+    "placement_of_aircraft_steps_connected", "ramp_unloading_start", "gate_open",
+    "departure_dispatcher_on_stand", "toilet_service_start", "toilet_service_finish",
+    "potable_water_service_start", "potable_water_service_finish", "tug_connected", "gate_closed",
+    "boarding_clearance", "boarding_start", "boarding_finish", "total_hand_baggage", "fuelling_start",
+    "fuelling_finish", "ramp_loading_start", "ramp_loading_finish", "offload_received", "engineer_off_finish",
+    "cabin_doors_closed", "cargo_positioned", "ramp_unloading_end", "cleaning_start", "cleaning_finish",
+    "catering_start", "catering_finish", "linked_flight", "stand", "flight_status", "flight_status_ad",
+    "flight_status_code", "aircraft_call_sign", "et", "gate", "catering_requested", "catering_arrived",
+    "delay_code_1", "delay_duration_1", "delay_code_2", "delay_duration_2", "delay_code_3", "delay_duration_3",
+    "total_delay_duration", "departure_temp_on_arrival", "departure_temp_for_boarding",
+    "departure_boarding_held_for_temp", "baggage_offloading_start", "baggage_offloading_finish",
+    "cargo_door_closed",
+)
+ARRIVAL_KEYS = (
+    "disembarking_start", "disembarking_finish", "arrival_dispatcher_on_stand", "pbb_connected",
+    "placement_of_aircraft_steps_connected", "ramp_unloading_start", "arrival_pax_off_start",
+    "arrival_pax_off_finish",
+)
+DEPARTURE_KEYS = (
+    "gate_open", "departure_dispatcher_on_stand", "toilet_service_start", "toilet_service_finish",
+    "potable_water_service_start", "potable_water_service_finish", "tug_connected", "gate_closed",
+    "boarding_clearance", "boarding_start", "boarding_finish", "total_hand_baggage", "fuelling_start",
+    "fuelling_finish", "ramp_loading_start", "ramp_loading_finish", "offload_received", "engineer_off_finish",
+    "cabin_doors_closed", "cargo_positioned", "ramp_unloading_end",
+)
+DUAL_KEYS = ("cleaning_start", "cleaning_finish", "catering_start", "catering_finish")
 
 MILLIS = "%Y-%m-%dT%H:%M:%S.%g"
 
@@ -52,11 +80,15 @@ o AS (
 
 LINE_KEY = "l_orderkey, l_linenumber, l_partkey, strftime(l_shipdate, '%Y-%m-%d') AS ship_day"
 
+def _listed(keys) -> str:
+    return "[" + ", ".join(f"'{k}'" for k in keys) + "]"
+
+
 # Good messages with their key, from the events they were made of.
 MESSAGES = f"""
 WITH {EVENTS},
 m AS (
-  SELECT *,
+  SELECT *, date_trunc('hour', ts) AS enq, {_listed(EVENT_NAMES)}[event_id % 54 + 1] AS cycled,
     CASE event_type WHEN 'click' THEN 'EY' WHEN 'view' THEN 'qr' WHEN 'purchase' THEN '' ELSE 'AB' END AS carrier,
     ltrim(CAST(user_id AS VARCHAR), '0') AS num,
     CASE WHEN k BETWEEN 60 AND 79 THEN strftime(date_trunc('day', ts) - INTERVAL 1 DAY, '%Y-%m-%d')
@@ -68,7 +100,7 @@ m AS (
 d AS (
   SELECT *, carrier || '-' || num || '-' || day || '-' || coalesce(org, 'no_orig') AS id
   FROM m WHERE k >= 10
-  QUALIFY row_number() OVER (PARTITION BY id ORDER BY ts DESC, event_id DESC) = 1
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY enq DESC, event_id DESC) = 1
 )"""
 
 # What the messages say about each scalar document column; all others are null.
@@ -83,7 +115,7 @@ DOCUMENT_VALUES = {
     "cancelled": "k > 90",
     "deleted": "CAST(NULL AS BOOLEAN)",
     "destination": "upper(event_type)",
-    "diverted": "CAST(NULL AS BOOLEAN)",
+    "diverted": "k % 3 = 0",
     "flight_number": "num",
     "flight_type": "ftype",
     "origin": "org",
@@ -98,34 +130,42 @@ DOCUMENT_VALUES = {
     "total_delay_duration": "'PT' || k || 'M'",
     "departure_temp_on_arrival": "event_type",
     "baggage_offloading_start": f"strftime(ts, '{MILLIS}')",
-    "cargo_door_closed": f"""CASE WHEN k < 90 AND event_type = 'signup'
-        THEN strftime(ts - INTERVAL 270 MINUTE, '{MILLIS}Z') END""",
-    "enqueued_datetime": f"strftime(ts, '{MILLIS}Z')",
+    "cargo_door_closed": f"""CASE WHEN k >= 90 THEN NULL
+        WHEN event_type = 'signup' THEN strftime(ts - INTERVAL 270 MINUTE, '{MILLIS}Z')
+        WHEN cycled = 'cargo_door_closed' THEN 'v' || event_id END""",
+    "enqueued_datetime": f"strftime(enq, '{MILLIS}Z')",
+    "aircraft_call_sign": "'acs-' || event_id",
+    "aircraft_type": "'act-' || event_id",
+    "baggage_offloading_finish": "'bof-' || event_id",
+    "catering_arrived": "'cta-' || event_id",
+    "catering_requested": "'ctr-' || event_id",
+    "delay_code_2": "'dc2-' || event_id",
+    "delay_code_3": "'dc3-' || event_id",
+    "delay_duration_1": "'dd1-' || event_id",
+    "delay_duration_2": "'dd2-' || event_id",
+    "delay_duration_3": "'dd3-' || event_id",
+    "departure_boarding_held_for_temp": "'bht-' || event_id",
+    "departure_temp_for_boarding": "'tfb-' || event_id",
+    "et": "'eta-' || event_id",
+    "flight_status": "'fst-' || event_id",
+    "flight_status_ad": "'fad-' || event_id",
+    "flight_status_code": "'fsc-' || event_id",
+    "linked_flight": "'lfl-' || event_id",
+    "source": "'src-' || event_id",
+    "source_location": "'slo-' || event_id",
+    "stand": "'std-' || event_id",
 }
-NOT_COMPARED = ("arrival", "departure", "ingestion_datetime", "cosmos_date", "cosmos_process_datetime")
 
 DOCUMENTS = (
     MESSAGES
     + "\nSELECT "
-    + ",\n  ".join(
-        f"{DOCUMENT_VALUES.get(c, 'CAST(NULL AS VARCHAR)')} AS {c}"
-        for c in FLIGHT.document_columns
-        if c not in NOT_COMPARED
-    )
+    + ",\n  ".join(f"{value} AS {name}" for name, value in DOCUMENT_VALUES.items())
     + """,
   CASE WHEN ftype = 'ARRIVAL' THEN 12 ELSE 8 END AS n_arrival,
   CASE WHEN ftype = 'DEPARTURE' THEN 25 ELSE 21 END AS n_departure
 FROM d"""
 )
 
-ARRIVAL_KEYS = FLIGHT.groups[0].keys
-DEPARTURE_KEYS = tuple(DEPARTURE_NAMES.values())
-DUAL_KEYS = tuple(DUAL_NAMES.values())
-
-
-def _listed(keys) -> str:
-    return "[" + ", ".join(f"'{k}'" for k in keys) + "]"
-
 
 DOCUMENT_MAPS = (
     MESSAGES
@@ -148,14 +188,17 @@ SELECT id, side, name,
          THEN strftime(ts - INTERVAL 270 MINUTE, '{MILLIS}Z')
        WHEN name = 'boarding_start' THEN strftime(ts + INTERVAL 2 HOUR, '{MILLIS}Z')
        WHEN name = 'catering_finish' AND k < 50 THEN CAST(k AS VARCHAR)
-       WHEN name = 'fuelling_finish' AND k >= 50 THEN CAST(k AS VARCHAR) END AS value
+       WHEN name = 'fuelling_finish' AND k >= 50 THEN CAST(k AS VARCHAR)
+       WHEN cycled = CASE name WHEN 'arrival_pax_off_start' THEN 'disembarking_start'
+                               WHEN 'arrival_pax_off_finish' THEN 'disembarking_finish' ELSE name END
+         THEN 'v' || event_id END AS value
 FROM keyed"""
 )
 
 KEY_LOG = (
     MESSAGES
     + f"""
-SELECT carrier || '-' || num || '-' || day || '-' || org AS flight_key, strftime(ts, '{MILLIS}Z') AS enqueued
+SELECT carrier || '-' || num || '-' || day || '-' || org AS flight_key, strftime(enq, '{MILLIS}Z') AS enqueued
 FROM m WHERE k NOT BETWEEN 5 AND 14"""
 )
 
@@ -172,11 +215,15 @@ FROM a""",
 SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
        json_extract_string(props, '$.absent') AS absent
 FROM events""",
-    "json_validity": """
+    "json_validity": f"""
+WITH {EVENTS},
+t AS (
+  SELECT *, [' tail', '],[', '],["a"', ',"x":1', '}} cut off {{"', ',"m":{{}}', '] [', ' '][k % 8 + 1] AS tail FROM e
+)
 SELECT event_id, coalesce(json_valid(CASE event_type
-         WHEN 'error' THEN left(props, length(props) - 1) WHEN 'signup' THEN props || ' tail'
-         WHEN 'view' THEN NULL ELSE props END), false) AS valid
-FROM events""",
+         WHEN 'error' THEN left(props, length(props) - 1) WHEN 'signup' THEN props || tail
+         WHEN 'purchase' THEN '1' || tail WHEN 'view' THEN NULL ELSE props END), false) AS valid
+FROM t""",
     "message_lag": """
 SELECT l_orderkey, l_linenumber, l_partkey,
        CAST(epoch(l_shipdate) - epoch(o_orderdate) AS BIGINT) AS lag_seconds
@@ -258,7 +305,7 @@ FROM o""",
 WITH {EVENTS}
 SELECT CASE WHEN event_type = 'error' THEN 'invalid_json' WHEN k < 5 THEN 'missing_field'
             ELSE 'invalid_date' END AS reject_reason,
-       event_id AS sequence_number, strftime(ts, '{MILLIS}Z') AS enqueued
+       event_id AS sequence_number, strftime(date_trunc('hour', ts), '{MILLIS}Z') AS enqueued
 FROM e WHERE event_type = 'error' OR k < 10""",
     "top1_config": """
 SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'
@@ -281,5 +328,11 @@ SELECT props AS json_body, strftime(ts, '{MILLIS}Z') AS enqueued, event_id AS "s
     "stream_key_log": KEY_LOG,
     "stream_latest": LATEST_EVENT_VALUES,
     "stream_replay": f"""
-SELECT event_id AS "sequenceNumber", strftime(ts, '{MILLIS}Z') AS enqueued FROM events""",
+SELECT event_id AS "sequenceNumber", strftime(date_trunc('hour', ts), '{MILLIS}Z') AS enqueued FROM events""",
+    "active_config": MESSAGES
+    + """
+SELECT id, (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 3 > 0
+            ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1) AS o_orderkey,
+       true AS arrived_in_run, true AS processed_in_run, true AS dated_in_run
+FROM d""",
 }

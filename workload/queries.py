@@ -24,18 +24,18 @@ from keyedflow.operators.attributes import (
 from keyedflow.operators.keys import with_business_key
 from keyedflow.operators.latest import latest_per_key, latest_per_key_aggregated
 from keyedflow.operators.parse import all_present, parse_json
-from keyedflow.operators.spread import spread
 from keyedflow.operators.times import normalize_timestamps, with_valid_date
+from keyedflow.plans.job import job_from_setting, start_job
 from keyedflow.plans.pipeline import batch_handler, file_sinks, process_batch
-from keyedflow.presets.flight import FLIGHT
+from keyedflow.presets.flight import FALL_BACKS, FLIGHT
 from keyedflow.session import scratch_folder
 from keyedflow.sinks import snapshot
 from keyedflow.sinks.append import AppendTable, BatchId, append_batch, read_appended
 from keyedflow.sinks.snapshot import Snapshot
 from keyedflow.sources.messages import MessageSource, decode, read_stream
-from keyedflow.sources.settings import newest_row, read_settings
+from keyedflow.sources.settings import active_setting, newest_row, read_settings
 from keyedflow.streaming.runner import start_stream
-from workload.tables import events, flight_messages, spelled_time, spread_events, table
+from workload.tables import events, flight_messages, spelled_time, table
 
 MESSAGES = MessageSource("table")
 LINE_NAMES = {f"L.{n}": f"line_{n}" for n in range(1, 8)}
@@ -79,14 +79,17 @@ def parse_json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.col("event_type")
+    kind, k = F.col("event_type"), F.col("k")
+    tails = [" tail", "],[", '],["a"', ',"x":1', '} cut off {"', ',"m":{}', "] [", " "]
+    tail = F.element_at(F.lit(tails), (k % len(tails) + 1).cast("int"))
     body = (
         F.when(kind == "error", F.substring("props", F.lit(1), F.length("props") - 1))
-        .when(kind == "signup", F.concat("props", F.lit(" tail")))
+        .when(kind == "signup", F.concat("props", tail))
+        .when(kind == "purchase", F.concat(F.lit("1"), tail))
         .when(kind == "view", F.lit(None))
         .otherwise(F.col("props"))
     )
-    return table(spark, sf_dir, "events").select("event_id", is_valid_json(body).alias("valid"))
+    return events(spark, sf_dir).select("event_id", is_valid_json(body).alias("valid"))
 
 
 def message_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,19 +117,19 @@ def business_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderstatus") != "F", F.col("n_name")).alias("place"),
         F.lower("o_orderstatus").alias("kind"),
     )
-    keyed = with_business_key(rows, KeySpec(kind="kind"))
+    keyed = with_business_key(rows, KeySpec(kind="kind", **FALL_BACKS))
     return keyed.select("o_orderkey", "key", "number", "carrier", "kind")
 
 
 def normalize_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = spelled_time(F.col("ts"), F.col("k"), F.col("event_id"))
-    spelled = spread_events(spark, sf_dir).select("event_id", text.alias("normalized"))
+    spelled = events(spark, sf_dir).select("event_id", text.alias("normalized"))
     return normalize_timestamps(spelled, ["normalized"])
 
 
 def validate_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = spelled_time(F.col("ts"), F.col("k"), F.col("event_id"))
-    spelled = spread_events(spark, sf_dir).select("event_id", text.alias("text"))
+    spelled = events(spark, sf_dir).select("event_id", text.alias("text"))
     return with_valid_date(spelled, "text", "day").filter("day is not null").drop("text")
 
 
@@ -211,7 +214,7 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         item(F.lit(None).cast("string"), F.col("l_partkey")),
         item(flag, F.concat(F.lit(" "), F.col("l_partkey"), F.lit(" "))),
     )
-    return spread(table(spark, sf_dir, "lineitem")).select(
+    return table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         "l_shipdate",
@@ -386,7 +389,11 @@ def append_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _event_snapshot(spark: SparkSession, sf_dir: str) -> tuple[Snapshot, DataFrame]:
     rows = events(spark, sf_dir).select("user_id", "event_type", "event_id", "ts", "value")
     target = Snapshot(
-        scratch_folder(spark, "snapshot"), rows.schema, ("user_id", "event_type"), ("ts", "event_id")
+        scratch_folder(spark, "snapshot"),
+        rows.schema,
+        ("user_id", "event_type"),
+        ("ts", "event_id"),
+        partition_by=("event_type",),
     )
     snapshot.create(spark, target)
     return target, rows
@@ -407,11 +414,12 @@ def upsert_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compacted_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with the first batch folded into the base before the second arrives."""
+    """The same with the newest batch folded into the base before the older ones arrive."""
     target, rows = _event_snapshot(spark, sf_dir)
-    snapshot.upsert(rows.filter("ts >= '2024-01-10'"), target, BatchId("query", 0))
-    snapshot.compact(spark, target, BatchId("query", 0))
+    snapshot.upsert(rows.filter("ts >= '2024-01-10'"), target, BatchId("query", 5))
+    snapshot.compact(spark, target)
     _upsert_late(rows, target)
+    snapshot.compact(spark, target)
     return snapshot.read(spark, target).drop("ts")
 
 
@@ -421,9 +429,9 @@ def compacted_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events file as a stream of messages whose body is ``props``."""
     schema = table(spark, sf_dir, "events").schema
-    source = MessageSource(
-        "parquet", {"pathGlobFilter": "events.parquet"}, sf_dir, schema, "props", "ts", "event_id", 1
-    )
+    # The table may be one file or a folder of part files; a stream wants a pattern for the one.
+    path = f"{sf_dir}/[e]vents.parquet"
+    source = MessageSource("parquet", {}, path, schema, "props", "ts", "event_id", 1)
     return read_stream(spark, source)
 
 
@@ -452,7 +460,7 @@ def stream_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _streamed(spark: SparkSession, sf_dir: str):
     sinks = file_sinks(spark, scratch_folder(spark, "stream"), FLIGHT)
     checkpoint = scratch_folder(spark, "checkpoint")
-    handler = batch_handler(FLIGHT, sinks)
+    handler = batch_handler(FLIGHT, sinks, compact_every=2)
     start_stream(message_stream(spark, sf_dir), handler, checkpoint, available_now=True).awaitTermination()
     return sinks
 
@@ -479,13 +487,49 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     def upsert(batch: DataFrame, number: int) -> None:
         snapshot.upsert(batch, target, BatchId("stream", number))
         if number == 1:
-            snapshot.compact(spark, target, BatchId("stream", number))
+            snapshot.compact(spark, target)
 
     checkpoint = scratch_folder(spark, "checkpoint")
     start_stream(stream, upsert, checkpoint, available_now=True).awaitTermination()
     return snapshot.read(spark, target).drop("ts")
 
 
+def active_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole stream through the job that the newest active settings row describes.
+
+    Settings are made from orders. Besides the documents there is the row that was chosen, and whether the
+    stamps of arrival and processing lie within the run.
+    """
+    base = scratch_folder(spark, "job")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderstatus").alias("module_name"),
+        F.when(F.col("o_orderkey") % 3 > 0, "Active").otherwise("Off").alias("status"),
+        F.col("o_orderdate").alias("insertion_datetime"),
+        "o_orderkey",
+        *[F.concat_ws("-", F.lit(f"{base}/{d}"), "o_orderkey").alias(f"{d}_dir") for d in ("raw", "product", "checkpoint")],
+    )
+    setting = active_setting(orders, "F", ("insertion_datetime", "o_orderkey"))
+    began = spark.range(1).select(F.current_timestamp()).first()[0]
+    job = job_from_setting(spark, setting, FLIGHT)
+    start_job(message_stream(spark, sf_dir), job, FLIGHT, available_now=True).awaitTermination()
+    ended = spark.range(1).select(F.current_timestamp()).first()[0]
+
+    landed = read_appended(spark, job.sinks.raw).select("sequenceNumber", "ingestiontime", "ingest_date")
+    log = snapshot.read(spark, job.sinks.documents)
+    inside = lambda stamp: stamp.between(F.lit(began), F.lit(ended))
+    processed = F.to_timestamp("cosmos_process_datetime")
+    # Texts of stamps have milliseconds only.
+    processed_inside = processed.between(F.lit(began) - F.expr("INTERVAL 1 SECOND"), F.lit(ended))
+    days = F.col("ingest_date").between(F.lit(began).cast("date"), F.lit(ended).cast("date"))
+    return log.join(landed, F.col("sequence_number") == F.col("sequenceNumber")).select(
+        "id",
+        F.lit(setting["o_orderkey"]).alias("o_orderkey"),
+        inside(F.col("ingestiontime")).alias("arrived_in_run"),
+        processed_inside.alias("processed_in_run"),
+        (days & (F.col("cosmos_date") == F.substring("cosmos_process_datetime", 1, 10))).alias("dated_in_run"),
+    )
+
+
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One batch taken through the pipeline twice: every raw row is there once."""
     batch = batch_of_messages(spark, sf_dir)
@@ -532,6 +576,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_documents,
         stream_key_log,
         stream_latest,
+        active_config,
         stream_replay,
     )
 }

@@ -5,9 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyedflow.operators.spread import spread
+from keyedflow.presets.flight import FLIGHT
 from keyedflow.session import use_utc
 
+#: Payload fields that hold a label of their own and the event's number, so that none can stand in for another.
+LABELLED_FIELDS = {
+    "Baggage Offloading Finish": "bof",
+    "Catering_Arrived": "cta",
+    "Catering_Requested": "ctr",
+    "Departure - Boarding Held for Temp": "bht",
+    "Departure - Temp for Boarding": "tfb",
+    "aircraftCallSign": "acs",
+    "aircraftType": "act",
+    "cargo_door_closed": "not read",
+    "delay_code2": "dc2",
+    "delay_code3": "dc3",
+    "delay_duration_1": "dd1",
+    "delay_duration_2": "dd2",
+    "delay_duration_3": "dd3",
+    "et": "eta",
+    "flightStatus": "fst",
+    "flightStatusAD": "fad",
+    "flightStatusCode": "fsc",
+    "linkedFlight": "lfl",
+    "source": "src",
+    "sourceLocation": "slo",
+    "stand": "std",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
@@ -20,11 +45,6 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events on all cores, for queries that take long per row."""
-    return spread(events(spark, sf_dir))
-
-
 def stamp(ts: Column, rest: str = "") -> Column:
     """``yyyy-MM-ddTHH:mm:ss.SSS`` and a literal rest."""
     return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit(rest))
@@ -74,10 +94,13 @@ def hours_later(ts: Column, hours: int) -> Column:
 def flight_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One flight message per event, as ``Body`` (binary), ``enqueuedTime`` and ``sequenceNumber``.
 
-    ``error`` events give broken JSON; ``k`` decides on missing fields, bad dates, lists and spelling.
+    ``error`` events give broken JSON of several kinds; ``k`` decides on missing fields, bad dates, lists and
+    spelling. Every field and every event name of the dictionary occurs. Enqueue times are whole hours, so
+    many messages of a flight share one and the sequence number decides.
     """
-    e = spread_events(spark, sf_dir)
+    e = events(spark, sf_dir)
     ts, k, kind = F.col("ts"), F.col("k"), F.col("event_type")
+    user = F.col("user_id").cast("string")
     midnight = F.date_trunc("day", ts)
     carrier = F.when(kind == "click", "EY").when(kind == "view", "qr").when(kind == "purchase", "").otherwise("AB")
     schedule = (
@@ -87,7 +110,13 @@ def flight_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k < 80, stamp(midnight, "+0530"))
         .otherwise(stamp(midnight, "Z"))
     )
+    names = F.lit(list(FLIGHT.names))
     items = F.array(
+        _item(
+            F.element_at(names, (F.col("event_id") % len(FLIGHT.names) + 1).cast("int")),
+            "S",
+            F.concat(F.lit("v"), F.col("event_id")),
+        ),
         _item(_lit("DIS.ESBT_gate_open"), "D", stamp(ts, "+0000")),
         _item(
             F.when(kind == "click", "DBD.dbd_start")
@@ -105,7 +134,7 @@ def flight_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     payload = F.struct(
         F.when(k >= 5, F.concat(F.lit('{"h":"'), F.col("user_id"), F.lit('"}'))).alias("acdmId"),
-        F.concat(carrier, F.lpad(F.col("user_id").cast("string"), 8, "0")).alias("flightNumber"),
+        F.concat(carrier, F.when(k % 2 == 0, F.lpad(user, 8, "0")).otherwise(user)).alias("flightNumber"),
         schedule.alias("scheduleDate"),
         F.when(~k.between(10, 14), F.when(kind == "click", "BCN").otherwise("AUH")).alias("origin"),
         F.upper(kind).alias("destination"),
@@ -114,6 +143,8 @@ def flight_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("ETD").alias("airline"),
         (k > 90).alias("cancelled"),
         (k < 20).alias("partial"),
+        (k % 3 == 0).alias("diverted"),
+        F.lit("no").alias("deleted"),  # of the wrong type
         stamp(ts, "+0000").alias("st"),
         F.when(k < 50, k.cast("string")).otherwise(" null ").alias("at"),
         F.col("event_id").cast("string").alias("gate"),
@@ -122,11 +153,19 @@ def flight_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         kind.alias("Departure - Temp on Arrival"),
         stamp(ts).alias("Baggage Offloading Start"),
         F.when(k < 90, items).when(k < 95, F.slice(items, 1, 0)).alias("flightDataUpdateItem"),
+        *[F.concat(F.lit(f"{label}-"), F.col("event_id")).alias(name) for name, label in LABELLED_FIELDS.items()],
     )
     whole = F.to_json(payload)
-    body = F.when(kind == "error", F.substring(whole, F.lit(1), F.length(whole) - 1)).otherwise(whole)
+    broken = (
+        F.when(k % 5 == 0, F.substring(whole, F.lit(1), F.length(whole) - 1))
+        .when(k % 5 == 1, F.concat(whole, F.lit('} cut off {"')))
+        .when(k % 5 == 2, F.concat(whole, F.lit(',"x":1')))
+        .when(k % 5 == 3, F.concat(whole, F.lit(',"m":'), whole))
+        .otherwise(F.concat(whole, F.lit(" tail")))
+    )
+    body = F.when(kind == "error", broken).otherwise(whole)
     return e.select(
         body.cast("binary").alias("Body"),
-        ts.alias("enqueuedTime"),
+        F.date_trunc("hour", ts).alias("enqueuedTime"),
         F.col("event_id").alias("sequenceNumber"),
     )
