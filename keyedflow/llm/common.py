@@ -5,8 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +20,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of one Arrow batch between Spark and a Python worker; a batch of long texts has fewer rows.
+ARROW_BATCH_BYTES = 2 << 20
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, so that workers can import it."""
+    """Send this package to the executors once per application, so that workers can import it.
+
+    Also bounds the session's Arrow batches by bytes, where it hasn't set a bound itself: by rows alone, ten
+    thousand long texts would have to fit in memory several times over.
+    """
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(limit) == "67108864b":  # the default
+        spark.conf.set(limit, ARROW_BATCH_BYTES)
     context = spark.sparkContext
     if getattr(context, "_keyedflow_shipped", False):
         return
@@ -60,6 +73,12 @@ def drop_rows(frame: DataFrame, dropped: DataFrame) -> DataFrame:
     return frame.join(dropped.select(ROW), ROW, "left_anti").drop(ROW)
 
 
+def release(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; at their end, memory that Arrow keeps for later goes back to the system."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+
+
 def text_of(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyedflow.llm.common import ROW, drop_rows, saved, ship_package, with_row_key
+from keyedflow.llm.common import ROW, drop_rows, release, saved, ship_package, with_row_key
 
 #: Runs of digits, a-z and everything beyond ASCII, in UTF-8 after lower-casing A-Z.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -241,7 +241,7 @@ def searcher(windows):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = windows.value
         shard = Shard(known)
-        for batch in batches:
+        for batch in release(batches):
             texts = batch["text"].cast(pa.binary())
             for row, doc_id, text in zip(batch[ROW].to_pylist(), batch["id"].to_pylist(), texts, strict=True):
                 shard.add(row, doc_id, text.as_py())

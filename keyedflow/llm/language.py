@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyedflow.llm.common import ROW, drop_rows, saved, ship_package, with_row_key
+from keyedflow.llm.common import ROW, drop_rows, release, saved, ship_package, with_row_key
 
 UNDETERMINED = "und"
 #: Labelled text a model is fitted on: rows per language, characters taken of a row, and characters of all
@@ -29,8 +29,8 @@ ALPHABET = 63
 #: Longer texts are parsed in blocks of so many symbols; a phrase ends with its block.
 BLOCK = 4_096
 #: Characters of a batch that are laid side by side at once.
-LANES_CHARS = 4 << 20
-#: Phrases per character, over those of the best other language, from which a language is accepted.
+LANES_CHARS = 1 << 20
+#: Marks a step that begins a new phrase.
 MISS = np.int32(1 << 30)
 
 
@@ -67,8 +67,9 @@ class Automaton:
                         state = link[state]
                     link[target] = link[new] = copy
             last = new
-        root = np.array([go[0].get(s, 0) for s in range(width)], np.int32)
-        table = np.tile(root | MISS, (len(go), 1))
+        # A symbol that the text does not hold is a phrase of its own: it leads where every step is a miss.
+        root = np.array([go[0].get(s, len(go)) for s in range(width)], np.int32)
+        table = np.tile(root | MISS, (len(go) + 1, 1))
         for state, targets in enumerate(go):
             for symbol, target in targets.items():
                 table[state, symbol] = target
@@ -218,7 +219,7 @@ def fit(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", row_id:
 def predictor(sent):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = sent.value
-        for batch in batches:
+        for batch in release(batches):
             langs, scores = model.predict(batch["text"].to_pylist())
             yield pa.record_batch(
                 {

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyedflow.llm.common import saved, ship_package
+from keyedflow.llm.common import release, saved, ship_package
 from keyedflow.llm.tokens import encoder, groups_of
 
 WINDOW, END = 1024, 0
@@ -42,7 +42,7 @@ def cutter(path: str, window: int, end: int | None):
         close = b"" if end is None else int(end).to_bytes(4, "little")
         part, full_before = TaskContext.get().partitionId(), 0
         seen: Counter[int] = Counter()
-        for batch in batches:
+        for batch in release(batches):
             texts = batch["text"].to_pylist()
             for begin, stop in groups_of(texts):
                 columns: dict[str, list] = {k: [] for k in ("n", "tail", "rank", "full_before", "crcs", "rest")}

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from keyedflow.llm import decontaminate, exact, html_text, language, packing, pii, repeats, simhash, token_counts, token_files
 from keyedflow.llm.common import table
+from keyedflow.llm.oracles import ORACLES
 
 #: A file of the installed public tokenizers.
 TOKENIZER = "byte_bpe_50k.json"
@@ -26,7 +27,7 @@ def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +58,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
 
+__all__ = ["ORACLES", "QUERIES", "tokenizer_path"]
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_repeated_passages": op2_repeated_passages,

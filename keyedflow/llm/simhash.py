@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyedflow.llm.common import ROW, drop_rows, saved, ship_package, with_row_key
+from keyedflow.llm.common import ROW, drop_rows, release, saved, ship_package, with_row_key
 from keyedflow.llm.components import components
 
 SEED = 42
@@ -49,7 +49,7 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 def fingerprinter(shingle: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in release(batches):
             texts = batch["text"].cast(pa.binary())
             prints = np.fromiter((fingerprint(t.as_py() or b"", shingle) for t in texts), np.uint64, len(texts))
             yield pa.record_batch({ROW: batch[ROW], "id": batch["id"], "fp": pa.array(prints.view(np.int64))})

@@ -9,14 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyedflow.llm.common import saved, ship_package
+from keyedflow.llm.common import release, saved, ship_package
 from keyedflow.llm.tokens import encoder, groups_of
 
 
 def counter(path: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode
-        for batch in batches:
+        for batch in release(batches):
             texts = batch["text"].to_pylist()
             for start, end in groups_of(texts):
                 lengths = [len(ids) // 4 for ids in encode(t or "" for t in texts[start:end])]

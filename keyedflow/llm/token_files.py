@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from keyedflow.llm.common import scratch_path, ship_package
+from keyedflow.llm.common import release, scratch_path, ship_package
 from keyedflow.llm.tokens import encoder, groups_of
 
 END = 0
@@ -28,7 +28,7 @@ def tokenizer_task(path: str, end: int | None):
         encode = encoder(path).encode
         close = b"" if end is None else int(end).to_bytes(4, "little")
         part, before = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in release(batches):
             texts = batch["text"].to_pylist()
             for start, stop in groups_of(texts):
                 ids = [found + close for found in encode(t or "" for t in texts[start:stop])]

@@ -8,7 +8,7 @@ from array import array
 from collections.abc import Callable, Iterable
 
 #: Words whose ids a worker keeps, and the longest that is kept.
-CACHE_WORDS, CACHE_LENGTH = 700_000, 48
+CACHE_WORDS, CACHE_LENGTH = 200_000, 48
 
 #: A space between two white-space characters, or between one and the end.
 LOOSE_SPACE = re.compile(r"\s (?:\s|$)")
@@ -122,7 +122,7 @@ def encoder(path: str) -> Encoder:
 
 
 #: Text characters that are encoded together, which bounds memory where rows are long.
-TEXTS_AT_ONCE = 4 << 20
+TEXTS_AT_ONCE = 1 << 20
 
 
 def groups_of(texts: list[str | None]) -> list[tuple[int, int]]:
