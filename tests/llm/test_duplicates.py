@@ -1,0 +1,180 @@
+"""Exact duplicates, SimHash components and repeated passages against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+
+from keyedflow.llm import components, exact, repeats, simhash
+from keyedflow.llm.suffix import suffix_array
+
+
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
+@pytest.mark.parametrize("keep", ["smallest", "largest"])
+def test_exact_duplicates(corpus, keep):
+    rows = [(r["doc_id"], lowered(r["text"])) for r in corpus.collect()]
+    ids = defaultdict(list)
+    for doc_id, text in rows:
+        ids[text].append(doc_id)
+    best = min if keep == "smallest" else max
+    kept = {t: best((i for i in found if i is not None), default=None) for t, found in ids.items()}
+    got = exact.exact_duplicates(corpus, keep=keep).collect()
+    expected = Counter((i, kept[t], len(ids[t]), hashlib.sha256(t.encode()).hexdigest()) for i, t in rows)
+    assert Counter((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in got) == expected
+    stays = Counter(r["text_sha256"] for r in got if r["kept"])
+    assert set(stays.values()) == {1} and len(stays) == len(ids)
+    assert all(r["doc_id"] == r["keep_id"] for r in got if r["kept"])
+
+
+def test_drop_exact_duplicates_keeps_columns_and_one_row_each(corpus):
+    left = exact.drop_exact_duplicates(corpus, keep="largest")
+    assert left.columns == corpus.columns
+    texts = [lowered(r["text"]) for r in left.collect()]
+    assert sorted(texts) == sorted({lowered(r["text"]) for r in corpus.collect()})
+
+
+def test_runs_merge_in_any_number_of_ranges(corpus, monkeypatch):
+    monkeypatch.setattr(exact, "RANGE_ENTRIES", 5)
+    got = exact.exact_duplicates(corpus).collect()
+    assert sum(r["kept"] for r in got) == len({lowered(r["text"]) for r in corpus.collect()})
+
+
+def brute_fingerprint(text):
+    words = lowered(text).encode().split()
+    if not words:
+        return 0
+    n = min(3, len(words))
+    hashes = [xxhash.xxh64_intdigest(b" ".join(words[i : i + n]), 42) for i in range(len(words) - n + 1)]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def brute_components(prints, radius=3):
+    labels = list(range(len(prints)))
+    for i, a in enumerate(prints):
+        for j in range(i):
+            if bin(a ^ prints[j]).count("1") <= radius and labels[i] != labels[j]:
+                old, new = labels[i], labels[j]
+                labels = [new if x == old else x for x in labels]
+    return labels
+
+
+def test_simhash_duplicates(corpus):
+    rows = [(r["doc_id"], brute_fingerprint(r["text"])) for r in corpus.collect()]
+    labels = brute_components([p for _, p in rows])
+    least = defaultdict(list)
+    for (doc_id, _), label in zip(rows, labels, strict=True):
+        least[label] += [doc_id] if doc_id is not None else []
+    expected = Counter((i, f"{p:016x}", min(least[c], default=None)) for (i, p), c in zip(rows, labels, strict=True))
+    assert Counter(tuple(r) for r in simhash.simhash_duplicates(corpus).collect()) == expected
+
+
+def test_every_near_pair_collides_in_some_table():
+    rnd = random.Random(1)
+    for path in ([], [3], [3, 9]):
+        free = simhash.free_bits(path)
+        bits = [i for i in range(64) if free >> i & 1]
+        masks = simhash.covering_masks(free)
+        for _ in range(2000):
+            differing = sum(1 << b for b in rnd.sample(bits, 3))
+            assert any(not differing & mask for mask in masks.values())
+
+
+@pytest.mark.parametrize("direct", [2, 3, 50])
+def test_large_buckets_are_covered_again(spark, direct):
+    rnd = random.Random(direct)
+    prints = set()
+    for _ in range(4):
+        base = rnd.getrandbits(64)
+        prints |= {base ^ sum(1 << b for b in rnd.sample(range(64), rnd.randint(0, 4))) for _ in range(40)}
+    prints = sorted(prints)
+    frame = spark.createDataFrame([(simhash.signed(p),) for p in prints], "fp long")
+    links = simhash.near_links(frame, direct=direct)
+    assert all(bin((r["a"] ^ r["b"]) & (1 << 64) - 1).count("1") <= 3 for r in links.collect())
+    label = {r["node"]: r["component"] for r in components.components(links).collect()}
+    got = [label.get(simhash.signed(p), simhash.signed(p)) for p in prints]
+    wanted = brute_components(prints)
+    pairs = set(zip(got, wanted, strict=True))
+    assert len(pairs) == len(set(got)) == len(set(wanted))
+
+
+def test_components_of_chains_stars_and_none(spark):
+    chain = [(i, i + 1) for i in range(100)]
+    star = [(500, 501 + i) for i in range(50)]
+    frame = spark.createDataFrame(chain + star + [(7, 7), (900, 900), (1, 0)], "a long, b long")
+    label = {r["node"]: r["component"] for r in components.components(frame).collect()}
+    assert {label[i] for i in range(101)} == {0} and {label[i] for i in range(500, 551)} == {500}
+    assert components.components(frame.limit(0)).count() == 0
+
+
+def test_drop_near_duplicates_keeps_the_first_of_each_group(corpus):
+    left = simhash.drop_near_duplicates(corpus)
+    assert left.columns == corpus.columns
+    groups = simhash.simhash_duplicates(corpus).collect()
+    assert left.count() == len({(r["component_id"]) for r in groups if r["component_id"] is not None}) + 1
+    ids = [r["doc_id"] for r in left.collect()]
+    assert {i for i in ids if i is not None} == {r["component_id"] for r in groups if r["component_id"] is not None}
+
+
+@pytest.mark.parametrize("symbols", [1, 2, 3, 30])
+def test_suffix_array(symbols):
+    rnd = random.Random(symbols)
+    for _ in range(300):
+        text = [rnd.randint(1, symbols) for _ in range(rnd.randint(0, 60))] + [0]
+        assert suffix_array(text) == sorted(range(len(text)), key=lambda i: text[i:])
+    assert suffix_array([]) == []
+
+
+def brute_repeats(rows, length=50):
+    first = {}
+    for doc_id, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        for i in range(len(text) - length + 1):
+            first.setdefault(text[i : i + length], doc_id)
+    found = []
+    for doc_id, text in rows:
+        gone = bytearray(len(text))
+        for i in range(len(text) - length + 1):
+            other = first[text[i : i + length]]
+            if other is not None and (doc_id is None or other < doc_id):
+                gone[i : i + length] = b"\1" * length
+        spans = sum(1 for i, x in enumerate(gone) if x and (not i or not gone[i - 1]))
+        kept = bytes(c for c, x in zip(text, gone, strict=True) if not x)
+        found.append((doc_id, len(text), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return Counter(found)
+
+
+COLUMNS = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@pytest.mark.parametrize("block", [1, 1 << 17])
+def test_repeated_passages(corpus, monkeypatch, block):
+    monkeypatch.setattr(repeats, "BLOCK_BYTES", block)
+    rows = [(r["doc_id"], (r["text"] or "").encode()) for r in corpus.collect()]
+    got = Counter(tuple(r[c] for c in COLUMNS) for r in repeats.repeated_passages(corpus).collect())
+    assert got == brute_repeats(rows)
+
+
+def test_long_texts_are_cut_into_overlapping_stretches(corpus, monkeypatch):
+    monkeypatch.setattr(repeats, "STRETCH", 97)
+    task = repeats.AnchorTask(4, 50)
+    text = bytes(np.random.Generator(np.random.PCG64(1)).integers(97, 105, 1000, dtype=np.uint8))
+    batches = [*task.add(1, 1, text), *task.hash(), task.flush()]
+    columns = [repeats.unpack_columns(b.as_py()) for batch in batches for b in batch["entries"]]
+    starts = sorted(
+        s for c in columns for at, n in zip(c["start"], c["count"], strict=True) for s in range(at, at + n)
+    )
+    assert starts == list(range(951))
+
+
+@pytest.mark.parametrize(
+    "operator", [exact.exact_duplicates, simhash.simhash_duplicates, repeats.repeated_passages, exact.drop_exact_duplicates, simhash.drop_near_duplicates]
+)
+def test_empty_table(no_rows, operator):
+    assert operator(no_rows).collect() == []
