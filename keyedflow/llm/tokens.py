@@ -19,7 +19,8 @@ TIGHT_SPACE = re.compile(r"(?<=[!-~])(?= )")
 SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _RUNS = ("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+", "[0-9]+", r"[!-&(-/:-@\[-`{-~]+", r"\n(?!\n)")
 PARTS = re.compile("|".join(_RUNS))
-PARTED = re.compile(f"(?!\n)(?:{'|'.join(_RUNS)})+")
+# Runs don't give characters back, so a word that is no such sequence is refused in linear time.
+PARTED = re.compile("(?!\n)(?:" + "|".join(run.replace("]+", "]++") for run in _RUNS) + ")++")
 
 
 class Recent(dict):
