@@ -64,10 +64,22 @@ def saved(frame: DataFrame, name: str) -> DataFrame:
 
 
 def with_row_key(frame: DataFrame) -> DataFrame:
-    """Number the rows. Scans of the same files give the same numbers, also when a task runs again."""
+    """Number the rows, for use in a single job; ``numbered_once`` is for keys that several jobs read."""
     return frame.withColumn(ROW, F.monotonically_increasing_id())
 
 
+def numbered_once(frame: DataFrame) -> DataFrame:
+    """The rows with a key, written to the shared scratch folder, so that all readings see the same keys.
+
+    Splits of a scan may differ from one job to the next, as executors come and go, and row numbers with them.
+    """
+    spark = frame.sparkSession
+    path = scratch_path(spark, "numbered-rows")
+    keyed = with_row_key(frame)
+    keyed.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(keyed.schema).parquet(path)
+
+
 def drop_rows(frame: DataFrame, dropped: DataFrame) -> DataFrame:
     """Rows of a numbered frame whose key is not among the distinct keys of ``dropped``; unnumbered again."""
     return frame.join(dropped.select(ROW), ROW, "left_anti").drop(ROW)

@@ -83,3 +83,11 @@ def test_run_gives_the_last_stage(spark, stages, tokenizer_path):
     text = next(r["text"] for r in rows if r["doc_id"] == whole["doc_id"])
     ids = np.array(encoder.encode(text, add_special_tokens=False).ids + [0], "<u4")
     assert whole["ids_crc32"] == zlib.crc32(ids.tobytes())
+
+
+def test_near_stage_is_brute_force_jaccard(stages):
+    from test_duplicates import brute_similar
+
+    rows = sorted((r["doc_id"], r["text"]) for r in stages[2].collect())
+    label = brute_similar([text for _, text in rows])
+    assert sorted(r["doc_id"] for r in stages[3].collect()) == sorted(rows[i][0] for i in set(label))

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from keyedflow.llm import components, exact, repeats, simhash
+from keyedflow.llm import components, exact, jaccard, repeats, simhash
 from keyedflow.llm.suffix import suffix_array
 
 
@@ -178,3 +178,47 @@ def test_long_texts_are_cut_into_overlapping_stretches(corpus, monkeypatch):
 )
 def test_empty_table(no_rows, operator):
     assert operator(no_rows).collect() == []
+
+
+def brute_sets(texts, shingle=5):
+    found = []
+    for text in texts:
+        words = lowered(text).split()
+        n = min(shingle, len(words))
+        found.append({tuple(words[i : i + n]) for i in range(len(words) - n + 1)})
+    return found
+
+
+def brute_similar(texts, t=0.8):
+    """The smallest index of each text's component over all pairs of that Jaccard similarity."""
+    sets, label = brute_sets(texts), list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 5 * len(a & sets[j]) >= 4 * len(a | sets[j]) and label[i] != label[j]:
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    return label
+
+
+@pytest.mark.parametrize(("sample", "common"), [(8, 3), (1, 2)])
+def test_near_copies_are_all_pairs_of_jaccard_similarity(spark, tmp_path, monkeypatch, sample, common):
+    monkeypatch.setattr(jaccard, "SAMPLE_ONE_IN", sample)
+    monkeypatch.setattr(jaccard, "COMMON", common)
+    rnd = random.Random(4)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(4)) for _ in range(400)]
+    line = " ".join(rnd.choice(words) for _ in range(12))
+    texts = [None, "", " \n", "Two words", "two  words", "two words more", line]
+    for _ in range(25):
+        base = [rnd.choice(words) for _ in range(rnd.choice([4, 30, 120, 300]))]
+        for _ in range(8):
+            own = list(base)
+            for _ in range(rnd.randint(0, max(1, len(own) // 40))):
+                own[rnd.randrange(len(own))] = rnd.choice(words)
+            texts.append(" ".join(own) + (" " + line if rnd.random() < 0.3 else ""))
+    path = str(tmp_path / "t")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).write.parquet(path)
+    label = brute_similar(texts)
+    assert len(set(label)) < len(texts) - 80
+    left = jaccard.drop_near_copies(spark.read.parquet(path))
+    assert left.columns == ["doc_id", "text"]
+    assert sorted(r["doc_id"] for r in left.collect()) == sorted(set(label))
