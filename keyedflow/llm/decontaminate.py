@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyedflow.llm.common import ROW, drop_rows, release, saved, ship_package, with_row_key
+from keyedflow.llm.common import ROW, drop_rows, numbered_once, release, saved, ship_package, with_row_key
 
 #: Runs of digits, a-z and everything beyond ASCII, in UTF-8 after lower-casing A-Z.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -324,8 +324,8 @@ def contamination(rows: DataFrame, benchmark: DataFrame, **options) -> DataFrame
 
 
 def drop_contaminated(rows: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The input without the rows that hold a window of the benchmark. ``rows`` has to be a scan of files."""
-    numbered = with_row_key(rows)
+    """The input without the rows that hold a window of the benchmark."""
+    numbered = numbered_once(rows)
     hits = benchmark_hits(numbered, benchmark, **options)
     return drop_rows(numbered, saved(hits.filter(F.size("spans") > 0).select(ROW), "contaminated"))
 

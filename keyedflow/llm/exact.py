@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyedflow.llm.common import ROW, ascii_lower, drop_rows, saved, ship_package, text_of, with_row_key
+from keyedflow.llm.common import ROW, ascii_lower, drop_rows, numbered_once, saved, ship_package, text_of, with_row_key
 
 #: SHA-256 (32 bytes), the text's length in bytes (8), and an independent 64-bit hash of it (8).
 KEY_BYTES = 48
@@ -179,11 +179,8 @@ def exact_duplicates(
 def drop_exact_duplicates(
     rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest"
 ) -> DataFrame:
-    """The input without the rows that ``exact_duplicates`` does not keep, all columns as they are.
-
-    ``rows`` has to be a scan of files, so that row numbers hold over both readings.
-    """
-    numbered = with_row_key(rows)
+    """The input without the rows that ``exact_duplicates`` does not keep, all columns as they are."""
+    numbered = numbered_once(rows)
     keyed = saved(digests(numbered, id_col, text_col), "digests")
     groups = merge_digests(keyed, keep).select("key", "keep_row")
     dropped = keyed.join(groups, "key").filter(F.col(ROW) != F.col("keep_row"))

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyedflow.llm.common import ROW, saved, ship_package, with_row_key
+from keyedflow.llm.common import ROW, numbered_once, saved, ship_package
 
 #: A branch on fewer pages of a host is never judged; one below this importance is removed.
 FEWEST_PAGES, LEAST_IMPORTANCE = 10, 0.2
@@ -292,10 +292,10 @@ def main_text(
 
     White space within a block becomes one space, blocks are joined by one, and character references are
     decoded. Null and empty pages have an empty text; a null or malformed address is a host of its own name.
-    If all of a page would be removed, its text stays. ``pages`` has to be a scan of files.
+    If all of a page would be removed, its text stays.
     """
     ship_package(pages.sparkSession)
-    numbered = with_row_key(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")))
+    numbered = numbered_once(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")))
     found = saved(numbered.select(ROW, "url", "html").mapInArrow(boxes, BOX_ROWS), "page-boxes")
     low = importance(found).filter((F.col("pages") >= fewest_pages) & (F.col("importance") < least_importance))
     removed = found.join(low, ["host", "path"]).groupBy(ROW).agg(F.collect_set("path").alias("removed"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyedflow.llm.common import ROW, drop_rows, release, saved, ship_package, with_row_key
+from keyedflow.llm.common import ROW, drop_rows, numbered_once, release, saved, ship_package, with_row_key
 
 UNDETERMINED = "und"
 #: Labelled text a model is fitted on: rows per language, characters taken of a row, and characters of all
@@ -261,8 +261,8 @@ def identify(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def drop_other_languages(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The input without rows whose text has no language (null or no letter). It has to be a scan of files."""
-    numbered = with_row_key(rows)
+    """The input without rows whose text has no language (null or no letter)."""
+    numbered = numbered_once(rows)
     model = fit(rows.filter(~held_out(id_col)), lang_col, text_col, id_col)
     found = predictions(numbered, model, id_col, text_col)
     return drop_rows(numbered, saved(found.filter(F.col("lang_pred") == UNDETERMINED).select(ROW), "no-language"))

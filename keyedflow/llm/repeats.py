@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyedflow.llm.common import ROW, saved, ship_package, text_of, with_row_key
+from keyedflow.llm.common import ROW, numbered_once, saved, ship_package, text_of
 from keyedflow.llm.suffix import suffix_array
 
 LENGTH, GRAM = 50, 16
@@ -452,12 +452,12 @@ def repeated_passages(
     A byte is removed if a string of ``length`` bytes over it also starts in a row with a smaller identifier,
     judged on the input. Null texts are empty. Rows without an identifier count as later than all others; rows
     that share an identifier don't remove each other's text. Texts shorter than ``length`` keep all their
-    bytes. An empty table gives no rows. ``rows`` has to be a scan of files.
+    bytes. An empty table gives no rows.
     """
     spark = rows.sparkSession
     ship_package(spark)
     slim = rows.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).cast("binary").alias("text"))
-    numbered = with_row_key(slim)
+    numbered = numbered_once(slim)
     keyed = saved(
         numbered.select(ROW, "id", F.sha2("text", 256).alias("digest"), F.octet_length("text").cast("long").alias("n_bytes")),
         "text-digests",

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyedflow.llm.common import ROW, drop_rows, release, saved, ship_package, with_row_key
+from keyedflow.llm.common import ROW, drop_rows, numbered_once, release, saved, ship_package, with_row_key
 from keyedflow.llm.components import components
 
 SEED = 42
@@ -247,11 +247,8 @@ def simhash_duplicates(rows: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def drop_near_duplicates(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """The input with one row of each component, the one with the smallest identifier (then row number).
-
-    ``rows`` has to be a scan of files, so that row numbers hold over both readings.
-    """
-    numbered = with_row_key(rows)
+    """The input with one row of each component, the one with the smallest identifier (then row number)."""
+    numbered = numbered_once(rows)
     found = simhash_components(numbered, id_col, text_col, shingle)
     order = F.struct(F.col("id").isNull().alias("unknown"), "id", ROW)
     keep = found.groupBy("component").agg(F.min(order).alias("keep")).select("component", F.col(f"keep.{ROW}").alias("keep"))
