@@ -8,6 +8,7 @@ text is to the language. All documents of a batch are parsed side by side, one c
 from __future__ import annotations
 
 import sys
+import warnings
 import zlib
 from collections.abc import Iterator
 
@@ -30,6 +31,9 @@ ALPHABET = 63
 BLOCK = 4_096
 #: Characters of a batch that are laid side by side at once.
 LANES_CHARS = 1 << 20
+#: A text of so many symbols or more is of no known language if its phrases are hardly longer than those of random
+#: letters (times this factor) and no language stands out by this score.
+LEAST_SYMBOLS, CHANCE_FACTOR, LEAST_SCORE = 100, 1.25, 0.1
 #: Marks a step that begins a new phrase.
 MISS = np.int32(1 << 30)
 
@@ -125,6 +129,15 @@ class Model:
         for language in self.languages:
             text = np.concatenate([squeezed(t, symbols) for t in samples[language]] or [np.zeros(0, np.uint8)])
             self.automata.append(Automaton(text[:share].tolist(), self.alphabet.width))
+        self.chance = self.chance_length()
+
+    def chance_length(self) -> float:
+        """Mean length of the phrases that random letters take in the automaton that knows most of them."""
+        letters = len(self.alphabet.known)
+        if not self.automata or not letters:
+            return 0.0
+        random = np.random.Generator(np.random.PCG64(7)).integers(0, letters + 1, (BLOCK, 1), dtype=np.int32)
+        return BLOCK / min(int(a.phrases(list(random), 1)[0]) for a in self.automata)
 
     def symbols(self) -> np.ndarray:
         """Made once per process; a model that is sent carries only its letters."""
@@ -134,8 +147,17 @@ class Model:
         return _SYMBOLS[key]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        return self.measured(texts)[:2]
+
+    def measured(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
+        """Language and score of every text, and whether it is to be kept as text of a known language.
+
+        A text without a letter is not. A long enough text is not either, if the predicted language takes it in
+        phrases hardly longer than chance and its score says that no language stands out. A model that has
+        learned no language knows nothing against a text with letters.
+        """
         symbols = self.symbols()
-        langs, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
+        langs, scores, known = [UNDETERMINED] * len(texts), [0.0] * len(texts), [False] * len(texts)
         start = 0
         while start < len(texts):
             lanes: list[np.ndarray] = []
@@ -144,6 +166,7 @@ class Model:
             while stop < len(texts) and size < LANES_CHARS:
                 found = squeezed(texts[stop] or "", symbols)
                 if found.any():
+                    known[stop] = True
                     for at in range(0, len(found), BLOCK):
                         lanes.append(found[at : at + BLOCK])
                         owners.append(stop)
@@ -151,10 +174,10 @@ class Model:
                 stop += 1
             start = stop
             if lanes and self.automata:
-                self._decide(lanes, np.array(owners), langs, scores)
-        return langs, scores
+                self._decide(lanes, np.array(owners), langs, scores, known)
+        return langs, scores, known
 
-    def _decide(self, lanes: list[np.ndarray], owners: np.ndarray, langs: list[str], scores: list[float]) -> None:
+    def _decide(self, lanes: list[np.ndarray], owners: np.ndarray, langs: list[str], scores: list[float], known: list[bool]) -> None:
         sizes = np.array([len(x) for x in lanes])
         order = np.argsort(-sizes, kind="stable")
         longest = int(sizes.max())
@@ -177,6 +200,8 @@ class Model:
             langs[document] = self.languages[best[i]]
             # How much worse the next best language does: 0 for a tie, towards 1 for a clear case.
             scores[document] = float(1 - least[i] / rest[i]) if rest[i] else 0.0
+            by_chance = total[i] <= self.chance * CHANCE_FACTOR * least[i]
+            known[document] = not (total[i] >= LEAST_SYMBOLS and by_chance and scores[document] < LEAST_SCORE)
 
 
 def squeezed(text: str, symbols: np.ndarray) -> np.ndarray:
@@ -220,13 +245,14 @@ def predictor(sent):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = sent.value
         for batch in release(batches):
-            langs, scores = model.predict(batch["text"].to_pylist())
+            langs, scores, known = model.measured(batch["text"].to_pylist())
             yield pa.record_batch(
                 {
                     ROW: batch[ROW],
                     "id": batch["id"],
                     "lang_pred": pa.array(langs, pa.string()),
                     "score": pa.array(scores, pa.float64()),
+                    "known": pa.array(known, pa.bool_()),
                 }
             )
 
@@ -239,7 +265,7 @@ def held_out(id_col: str) -> F.Column:
 
 
 def predictions(rows: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Row key, ``id``, ``lang_pred`` and ``score`` of a numbered frame.
+    """Row key, ``id``, ``lang_pred``, ``score`` and ``known`` (see ``Model.measured``) of a numbered frame.
 
     Nothing but the text decides. Texts that are null or have no letter are ``und`` with score 0, and so is
     every text if the model knows no language.
@@ -248,7 +274,7 @@ def predictions(rows: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     ship_package(spark)
     slim = rows.select(ROW, F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sent = spark.sparkContext.broadcast(model)  # a few tables of a size set by MODEL_CHARS
-    return slim.mapInArrow(predictor(sent), f"{ROW} long, id {dict(rows.dtypes)[id_col]}, lang_pred string, score double")
+    return slim.mapInArrow(predictor(sent), f"{ROW} long, id {dict(rows.dtypes)[id_col]}, lang_pred string, score double, known boolean")
 
 
 def identify(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -261,11 +287,18 @@ def identify(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def drop_other_languages(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The input without rows whose text has no language (null or no letter)."""
+    """The input without rows whose text is of no language that the model knows.
+
+    These are texts that are null or have no letter, and texts of ``LEAST_SYMBOLS`` or more which the predicted
+    language explains no better than random letters while its score is below ``LEAST_SCORE``; shorter texts and
+    mixed languages stay. If no row teaches a language, only the former go, with a warning.
+    """
     numbered = numbered_once(rows)
     model = fit(rows.filter(~held_out(id_col)), lang_col, text_col, id_col)
+    if not model.languages:
+        warnings.warn("no language was learned: every text with a letter is kept", stacklevel=2)
     found = predictions(numbered, model, id_col, text_col)
-    return drop_rows(numbered, saved(found.filter(F.col("lang_pred") == UNDETERMINED).select(ROW), "no-language"))
+    return drop_rows(numbered, saved(found.filter(~F.col("known")).select(ROW), "no-language"))
 
 
 def crc_held_out(doc_id: int) -> bool:

@@ -271,3 +271,22 @@ def test_hostile_pages_take_linear_time(junk):
 def test_row_keys_hold_over_readings(corpus):
     first = {tuple(r) for r in with_row_key(corpus).select("__row", "id").collect()}
     assert first == {tuple(r) for r in with_row_key(corpus.select("id", "text")).select("__row", "id").collect()}
+
+
+def test_texts_of_no_known_language_go_and_clean_ones_stay(spark, spoken, tmp_path):
+    rnd = random.Random(9)
+    junk = [(2000 + i, "".join(rnd.choice("abcdefghijklmnoprtuvwy ") for _ in range(400)), "yy" if i % 2 else None, "s", 1, 1, "k", None) for i in range(20)]
+    junk += [(3000, "אבג ד" * 60, None, "s", 1, 1, "k", None), (3001, "qvw", None, "s", 1, 1, "k", None)]
+    rows = stored(spark, tmp_path, [tuple(r) for r in spoken.collect()] + [j for j in junk if not j[2]], SCHEMA)
+    left = {r["doc_id"] for r in language.drop_other_languages(rows).collect()}
+    clean = {r["doc_id"] for r in spoken.collect()} - {1000, 1001, 1002}
+    assert left == clean | {3001}
+
+
+def test_no_language_learned_drops_no_text(spark, corpus, tmp_path):
+    from pyspark.sql import functions as F
+
+    corpus.withColumn("lang", F.lit(None).cast("string")).write.parquet(str(tmp_path / "t"))
+    with pytest.warns(UserWarning, match="no language"):
+        left = language.drop_other_languages(spark.read.parquet(str(tmp_path / "t")))
+    assert left.count() == sum(any(c.isalpha() for c in r["text"] or "") for r in corpus.collect())
