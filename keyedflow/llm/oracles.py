@@ -121,4 +121,88 @@ SELECT doc_id,
 FROM found
 """
 
-ORACLES = {"op3_decontamination": OP3, "op9_personal_data": OP9, "op10_exact_dedup": OP10}
+OP11 = """
+WITH t AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+           sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+    FROM documents
+),
+d AS (
+    SELECT *, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS a, CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS b,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                  OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 THEN 'plain'
+                WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM t
+),
+c AS (
+    SELECT *, array_to_string(u[1 : least(a, b)], '') AS p, array_to_string(u[least(a, b) + 1 : greatest(a, b)], '') AS m,
+           array_to_string(u[greatest(a, b) + 1 :], '') AS s
+    FROM d
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM c
+"""
+
+
+def _vector_codes(rounds: int) -> str:
+    """Assignment and update, once more per round: ``c0`` to ``c<rounds>`` are the codebooks, ``a0`` on the assignments."""
+    steps = [
+        """
+kept AS MATERIALIZED (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+pieces AS MATERIALIZED (
+    SELECT vec_id, label, p, v[p * (len(v) // 8) + 1 : (p + 1) * (len(v) // 8)] AS piece FROM kept, range(8) AS r(p)
+),
+c0 AS MATERIALIZED (
+    SELECT p, dense_rank() OVER (ORDER BY vec_id) - 1 AS e, piece AS entry FROM pieces
+    WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 16)
+)"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (
+    SELECT vec_id, label, p, any_value(piece) AS piece,
+           min(CAST(list_sum(list_transform(list_zip(piece, entry), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT)
+               * 16 + e) AS found
+    FROM pieces JOIN c{i} USING (p) GROUP BY vec_id, label, p
+)""")
+        if i < rounds:
+            steps.append(f"""
+s{i} AS (
+    SELECT p, found % 16 AS e, j, CAST(sum(piece[j]) AS BIGINT) AS s, count(*) AS n
+    FROM a{i}, unnest(range(1, len(piece) + 1)) AS u(j) GROUP BY ALL
+),
+c{i + 1} AS MATERIALIZED (
+    SELECT c.p, c.e, coalesce(moved.entry, c.entry) AS entry
+    FROM c{i} c LEFT JOIN (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY j) AS entry FROM s{i} GROUP BY p, e)
+         AS moved USING (p, e)
+)""")
+    return "WITH" + ",".join(steps) + f""",
+coded AS (
+    SELECT vec_id, label, lower(string_agg(lpad(to_hex(found % 16), 2, '0'), '' ORDER BY p)) AS code,
+           CAST(sum(found // 16) AS BIGINT) AS error
+    FROM a{rounds} GROUP BY vec_id, label
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(entry, ','), ',' ORDER BY p, e)) FROM c{rounds}) AS codebooks_sha256
+FROM coded
+"""
+
+
+OP12 = _vector_codes(rounds=6)
+
+ORACLES = {
+    "op3_decontamination": OP3,
+    "op9_personal_data": OP9,
+    "op10_exact_dedup": OP10,
+    "op11_fill_in_middle": OP11,
+    "op12_vector_codes": OP12,
+}

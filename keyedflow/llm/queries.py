@@ -3,8 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from keyedflow.llm import decontaminate, exact, html_text, language, packing, pii, repeats, simhash, token_counts, token_files
+from pyspark.sql import functions as F
+
+from keyedflow.llm import (
+    decontaminate,
+    exact,
+    fill_middle,
+    html_text,
+    language,
+    packing,
+    pii,
+    quality,
+    repeats,
+    simhash,
+    token_counts,
+    token_files,
+    vector_codes,
+)
 from keyedflow.llm.common import table
 from keyedflow.llm.oracles import ORACLES
 
@@ -58,6 +73,20 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    output, form = F.col("output"), F.col("form")
+    digests = {"output_sha256": F.sha2(output, 256), "restored_sha256": F.sha2(fill_middle.restored(output, form), 256)}
+    return fill_middle.fill_in_middle(table(spark, sf_dir, "documents")).withColumns(digests).drop("output")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 __all__ = ["ORACLES", "QUERIES", "tokenizer_path"]
 
 QUERIES = {
@@ -71,4 +100,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_personal_data": op9_personal_data,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_quality": op13_quality,
 }

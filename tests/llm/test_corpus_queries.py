@@ -20,7 +20,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_one_query_for_each_operator():
     numbers = [int(re.fullmatch(r"op(\d+)_\w+", name)[1]) for name in QUERIES]
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     registered = __spark_entry__.queries()
     assert set(QUERIES) | {"pipeline"} <= set(registered) and set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
@@ -28,7 +28,7 @@ def test_one_query_for_each_operator():
 @pytest.mark.parametrize("name", ORACLES)
 def test_query_equals_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "embeddings"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF_DIR}/{table}.parquet')")
     cursor = connection.execute(ORACLES[name])
     names = [d[0] for d in cursor.description]
