@@ -1,0 +1,12 @@
+"""What tests share besides fixtures."""
+
+from __future__ import annotations
+
+
+def item(name, value, kind="D"):
+    return {"name": name, "value": {"type": kind, "value": value}}
+
+
+def plan_of(df) -> str:
+    """The formatted physical plan as text."""
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")

@@ -4,7 +4,7 @@ import random
 import re
 
 import pytest
-from conftest import item, plan_of
+from helpers import item, plan_of
 from pyspark.sql import functions as F
 
 from keyedflow.config import KeySpec, MapGroup
