@@ -59,8 +59,11 @@ def test_parse_is_done_once_and_whole(spark):
     rows = [r.message for r in parsed.collect()]
     assert [r and r.a for r in rows] == ["1", '{"q":1}'] + [None] * 10
     assert rows[0].b is None and rows[1].n.x == "false" and rows[2:] == [None] * 10
+    quoted = ["{'a':'x'}", """{"a":"x",'b':true}""", """{"a":"x","n":{'x':"y"}}""", """{"a":"x","z":['q']}""", '{"a":"x","z":NaN}']
+    quoted = spark.createDataFrame(list(enumerate(quoted)), "i int, t string")
+    assert [r.message and r.message.a for r in parse_json(quoted, "t", schema).orderBy("i").collect()] == [None] * 4 + ["x"]
     filtered = parse_json(df, "t", schema).select("message.*").filter("a is not null and b is not null")
-    assert plan_of(filtered).count("from_json(") == 3  # the object, and the two wrappers
+    assert plan_of(filtered).count("from_json(") == 3  # the object, and two wrappers for what the scans refuse
 
 
 def random_rows(n, keys, seed):
