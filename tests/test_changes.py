@@ -1,0 +1,159 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from keyedflow.operators.latest import latest_per_key
+from keyedflow.plans.pipeline import changed_documents
+from keyedflow.presets.flight import FLIGHT
+from keyedflow.sources.messages import MessageSource, read_stream
+from keyedflow.streaming.changes import PROVIDER, changed_per_key, newest_in_batches, use_rocksdb
+from keyedflow.streaming.runner import start_stream
+
+COLUMNS = "k string, t timestamp, s long, v string, m map<string,string>, a array<struct<x:int,y:string>>"
+
+
+@pytest.fixture
+def rocksdb(spark):
+    before = spark.conf.get(PROVIDER)
+    yield use_rocksdb(spark)
+    spark.conf.set(PROVIDER, before)
+
+
+def rows_of(spark, rows):
+    """Rows from key, second, sequence and value; nulls stay null."""
+    made = spark.createDataFrame(rows, "k string, t long, s long, v string")
+    maps = F.when(F.col("v").isNotNull(), F.create_map(F.lit("v"), F.col("v"), F.lit("n"), F.lit(None).cast("string")))
+    items = F.array(F.struct(F.lit(1).alias("x"), F.col("v").alias("y")), F.struct(F.lit(None).cast("int").alias("x"), F.lit("").alias("y")))
+    return made.select("k", F.timestamp_seconds("t").alias("t"), "s", "v", maps.alias("m"), items.alias("a"))
+
+
+class Feed:
+    """A stream of one file per batch and what comes out of it, batch by batch."""
+
+    def __init__(self, spark, path, step):
+        self.spark, self.path, self.step, self.out = spark, path, step, {}
+
+    def add(self, *batches):
+        for rows in batches:
+            rows_of(self.spark, rows).coalesce(1).write.mode("append").parquet(f"{self.path}/in")
+        return self
+
+    def run(self, fail_on=None):
+        def land(batch, number):
+            self.out[number] = [tuple(r) for r in batch.select("k", F.unix_seconds("t"), "s", "v").collect()]
+            self.last = batch.schema
+            if number == fail_on:
+                raise RuntimeError("lost after writing")
+
+        schema = rows_of(self.spark, []).schema
+        stream = self.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{self.path}/in")
+        start_stream(self.step(stream), land, f"{self.path}/cp", available_now=True, output="update").awaitTermination()
+        return self
+
+
+def by_hand(batches):
+    """Per batch the newest row per key that is newer than all before; nulls are older than all else."""
+    held, out = {}, {}
+    for number, rows in enumerate(batches):
+        best = {}
+        for row in rows:
+            rank = tuple((x is not None, x or 0) for x in row[1:3])
+            if row[0] not in best or rank > best[row[0]][0]:
+                best[row[0]] = (rank, row)
+        out[number] = sorted((row for k, (rank, row) in best.items() if k not in held or rank > held[k]), key=repr)
+        held |= {k: rank for k, (rank, _) in best.items() if k not in held or rank > held[k]}
+    return out
+
+
+def test_changes_over_batches_and_restarts(spark, rocksdb, tmp_path):
+    r = random.Random(4)
+    batches = []
+    for _ in range(4):
+        keys = [None, "hot", "hot", "hot", *"abcdefgh"]
+        rows = [(r.choice(keys), r.choice([None, *range(50)]), r.choice([None, *range(2**60, 2**60 + 400)]), f"v{i}") for i in range(60)]
+        batches.append(list({(k, t, s): (k, t, s, v) for k, t, s, v in rows}.values()))
+    batches.insert(2, batches[0])
+    feed = Feed(spark, tmp_path, lambda stream: changed_per_key(stream, ["k"], ["t", "s"]))
+    feed.add(*batches[:2]).run()
+    feed.add(batches[2])
+    with pytest.raises(Exception, match="lost after writing"):
+        feed.run(fail_on=2)
+    feed.add(*batches[3:]).run()
+    got = {n: sorted(rows, key=repr) for n, rows in feed.out.items()}
+    expected = by_hand(batches)
+    assert {n: [row[:3] for row in rows] for n, rows in got.items() if rows} == {
+        n: [row[:3] for row in rows] for n, rows in expected.items() if rows
+    }
+    assert feed.last.simpleString() == rows_of(spark, []).schema.simpleString()
+    last = {row[0]: row[:3] for n in sorted(got) for row in got[n]}
+    newest = latest_per_key(rows_of(spark, [x for b in batches for x in b]), ["k"], ["t", "s"])
+    assert last == {x[0]: tuple(x) for x in newest.select("k", F.unix_seconds("t"), "s").collect()}
+
+
+def test_equal_content_does_not_come_out_again(spark, rocksdb, tmp_path):
+    feed = Feed(spark, tmp_path, lambda stream: changed_per_key(stream, ["k"], ["t", "s"], content=["v", "m", "a"]))
+    feed.add([("a", 1, 1, "x")], [("a", 5, 1, "x")], [("a", 3, 1, "y")], [("a", 6, 1, "y")], [("a", 7, 1, None)]).run()
+    assert [feed.out.get(n, []) for n in range(5)] == [[("a", 1, 1, "x")], [], [], [("a", 6, 1, "y")], [("a", 7, 1, None)]]
+
+
+def test_state_goes_with_the_watermark_and_changes_nothing(spark, rocksdb, tmp_path):
+    day, hour = 86_400, 3600
+    batches = [
+        [("a", day, 1, "x"), ("b", day, 1, "x")],
+        [("c", day + 10 * hour, 1, "moves the watermark")],
+        [("b", day + 9 * hour + 60, 1, "newer")],
+        [("b", day + 9 * hour + 30, 1, "older, still let in"), ("a", day + hour, 1, "too late")],
+        [("b", day + 10 * hour, 2, "newest")],
+    ]
+    feed = Feed(spark, tmp_path, lambda stream: changed_per_key(stream, ["k"], ["t", "s"], late="1 hour"))
+    feed.add(*batches).run()
+    out = [row for n in sorted(feed.out) for row in feed.out[n]]
+    assert sorted(out) == sorted(batches[0] + batches[1] + batches[2] + batches[4])
+    state = spark.read.format("statestore").option("stateVarName", "newest").load(f"{tmp_path}/cp")
+    assert {r[0] for r in state.select("key.k").collect()} == {"b", "c"}
+
+
+def test_a_hot_key_is_cut_before_the_shuffle(spark):
+    rows = spark.range(100_000, numPartitions=4).selectExpr("if(id % 3 > 0, 'hot', string(id % 50)) k", "id t", "cast(null as long) s")
+    cut = newest_in_batches(rows, ["k"], ["t", "s"])
+    assert cut.filter("k = 'hot'").count() <= 16 and cut.columns == rows.columns
+    assert cut.groupBy("k").agg(F.max("t")).exceptAll(rows.groupBy("k").agg(F.max("t"))).count() == 0
+
+
+def test_needs(spark, tmp_path):
+    rows = rows_of(spark, [])
+    rows.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in")
+    with pytest.raises(ValueError, match="use_rocksdb"):
+        changed_per_key(stream, ["k"], ["t"])
+
+
+def test_late_needs_a_timestamp(spark, rocksdb, tmp_path):
+    rows = rows_of(spark, [])
+    rows.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in")
+    with pytest.raises(ValueError, match="no timestamp"):
+        changed_per_key(stream, ["k"], ["s"], late="1 day")
+
+
+def test_changed_documents(spark, rocksdb, tmp_path, arrival):
+    import json
+
+    schema = "Body string, enqueuedTime timestamp, sequenceNumber long"
+    for i, (gate, hour) in enumerate([("new", 12), ("old", 11), ("newest", 13), ("newest", 13)]):
+        body = json.dumps(arrival | {"gate": gate})
+        row = spark.createDataFrame([(body, i if gate != "newest" else 2)], "Body string, sequenceNumber long")
+        row.select("Body", F.make_timestamp(F.lit(2025), F.lit(1), F.lit(1), F.lit(hour), F.lit(0), F.lit(0)).alias("enqueuedTime"), "sequenceNumber").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    source = MessageSource("parquet", {}, f"{tmp_path}/in", spark.createDataFrame([], schema).schema, max_per_trigger=1)
+    out = []
+    start_stream(
+        changed_documents(read_stream(spark, source), FLIGHT),
+        lambda batch, n: out.extend((n, r["gate"], r["departure"][0].get("boarding_start"), len(r["arrival"][0])) for r in batch.collect()),
+        f"{tmp_path}/cp",
+        available_now=True,
+        output="update",
+    ).awaitTermination()
+    assert [(n, gate, size) for n, gate, _, size in out] == [(0, "new", 12), (2, "newest", 12)]

@@ -327,6 +327,26 @@ SELECT props AS json_body, strftime(ts, '{MILLIS}Z') AS enqueued, event_id AS "s
     "stream_documents": DOCUMENTS,
     "stream_key_log": KEY_LOG,
     "stream_latest": LATEST_EVENT_VALUES,
+    "stream_changes": """
+WITH arrivals AS (
+  SELECT 0 AS batch_id, * FROM events WHERE ts >= '2024-01-15' AND ts < '2024-01-20'
+  UNION ALL SELECT 1, * FROM events WHERE ts < '2024-01-10'
+  UNION ALL SELECT 2, * FROM events WHERE ts >= '2024-01-15' AND ts < '2024-01-20'
+  UNION ALL SELECT 3, * FROM events WHERE ts >= '2024-01-20'
+  UNION ALL SELECT 4, * FROM events WHERE ts >= '2024-01-10' AND ts < '2024-01-15'
+),
+newest AS (
+  SELECT *, {'ts': ts, 'id': event_id} AS rank FROM arrivals
+  QUALIFY row_number() OVER (PARTITION BY batch_id, user_id, event_type ORDER BY ts DESC, event_id DESC) = 1
+),
+held AS (
+  SELECT *, max(rank) OVER (PARTITION BY user_id, event_type ORDER BY batch_id
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+  FROM newest
+)
+SELECT CAST(batch_id AS BIGINT) AS batch_id, user_id, event_type, event_id, value
+FROM held WHERE before IS NULL OR rank > before""",
+    "stream_changed_documents": DOCUMENTS,
     "stream_replay": f"""
 SELECT event_id AS "sequenceNumber", strftime(date_trunc('hour', ts), '{MILLIS}Z') AS enqueued FROM events""",
     "active_config": MESSAGES

@@ -26,7 +26,7 @@ from keyedflow.operators.latest import latest_per_key, latest_per_key_aggregated
 from keyedflow.operators.parse import all_present, parse_json
 from keyedflow.operators.times import normalize_timestamps, with_valid_date
 from keyedflow.plans.job import job_from_setting, start_job
-from keyedflow.plans.pipeline import batch_handler, file_sinks, process_batch
+from keyedflow.plans.pipeline import batch_handler, changed_documents, file_sinks, process_batch
 from keyedflow.presets.flight import FALL_BACKS, FLIGHT
 from keyedflow.session import scratch_folder
 from keyedflow.sinks import snapshot
@@ -34,6 +34,7 @@ from keyedflow.sinks.append import AppendTable, BatchId, append_batch, read_appe
 from keyedflow.sinks.snapshot import Snapshot
 from keyedflow.sources.messages import MessageSource, decode, read_stream
 from keyedflow.sources.settings import active_setting, newest_row, read_settings
+from keyedflow.streaming.changes import changed_per_key, use_rocksdb
 from keyedflow.streaming.runner import start_stream
 from workload.tables import events, flight_messages, spelled_time, table
 
@@ -494,6 +495,51 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot.read(spark, target).drop("ts")
 
 
+#: What arrives batch by batch: newer events first, then older ones, the first again, the newest, the rest.
+ARRIVALS = (
+    "ts >= '2024-01-15' AND ts < '2024-01-20'",
+    "ts < '2024-01-10'",
+    "ts >= '2024-01-15' AND ts < '2024-01-20'",
+    "ts >= '2024-01-20'",
+    "ts >= '2024-01-10' AND ts < '2024-01-15'",
+)
+
+
+def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that replace the newest of their key, by the batch they come out of; restarted after two batches."""
+    use_rocksdb(spark)
+    rows = events(spark, sf_dir).select("user_id", "event_type", "event_id", "ts", "value")
+    landing, landed = scratch_folder(spark, "landing"), scratch_folder(spark, "changes")
+    checkpoint = scratch_folder(spark, "checkpoint")
+    log = AppendTable(landed)
+
+    def land(batch: DataFrame, number: int) -> None:
+        append_batch(batch, log, BatchId("stream", number))
+
+    for arrivals in (ARRIVALS[:2], ARRIVALS[2:]):
+        for condition in arrivals:
+            rows.filter(condition).coalesce(1).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+        changed = changed_per_key(stream, ["user_id", "event_type"], ["ts", "event_id"])
+        start_stream(changed, land, checkpoint, available_now=True, output="update").awaitTermination()
+    return read_appended(spark, log, rows.schema).select("batch_id", "user_id", "event_type", "event_id", "value")
+
+
+def stream_changed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages as a stream of changed documents into a snapshot, which equals one big batch."""
+    use_rocksdb(spark)
+    target = Snapshot(scratch_folder(spark, "documents"), docs.document_schema(FLIGHT), partition_by=(FLIGHT.day,))
+    snapshot.create(spark, target)
+    changed = changed_documents(message_stream(spark, sf_dir), FLIGHT)
+
+    def upsert(batch: DataFrame, number: int) -> None:
+        snapshot.upsert(batch, target, BatchId("stream", number), deduplicated=True)
+
+    checkpoint = scratch_folder(spark, "checkpoint")
+    start_stream(changed, upsert, checkpoint, available_now=True, output="update").awaitTermination()
+    return document_scalars(snapshot.read(spark, target))
+
+
 def active_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole stream through the job that the newest active settings row describes.
 
@@ -576,6 +622,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_documents,
         stream_key_log,
         stream_latest,
+        stream_changes,
+        stream_changed_documents,
         active_config,
         stream_replay,
     )
