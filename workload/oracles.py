@@ -202,7 +202,20 @@ SELECT carrier || '-' || num || '-' || day || '-' || org AS flight_key, strftime
 FROM m WHERE k NOT BETWEEN 5 AND 14"""
 )
 
+VERSIONED_NAMES = """
+WITH versions AS (
+  SELECT ['click', 'view', 'purchase', 'signup', 'unseen'][p_size % 5 + 1] AS name,
+         TIMESTAMP '2024-01-01' + to_minutes(CAST(p_partkey * 37 % 43200 AS BIGINT)) AS valid_from,
+         CASE WHEN p_size % 10 > 0 THEN p_brand || '/' || p_partkey END AS target
+  FROM part
+  QUALIFY row_number() OVER (PARTITION BY name, valid_from ORDER BY p_partkey DESC) = 1
+)
+SELECT event_id, event_type, target AS friendly_name
+FROM events ASOF LEFT JOIN versions ON event_type = name AND ts >= valid_from"""
+
 ORACLES: dict[str, str] = {
+    "versioned_names": VERSIONED_NAMES,
+    "versioned_names_merged": VERSIONED_NAMES,
     "decode_envelope": f"""
 WITH {EVENTS},
 a AS (SELECT *, ts + to_microseconds(CAST(k AS BIGINT) * 900000) AS arrived FROM e)

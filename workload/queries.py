@@ -25,6 +25,7 @@ from keyedflow.operators.keys import with_business_key
 from keyedflow.operators.latest import latest_per_key, latest_per_key_aggregated
 from keyedflow.operators.parse import all_present, parse_json
 from keyedflow.operators.times import normalize_timestamps, with_valid_date
+from keyedflow.operators.versions import MERGE, names_as_of
 from keyedflow.plans.job import job_from_setting, start_job
 from keyedflow.plans.pipeline import batch_handler, changed_documents, file_sinks, process_batch
 from keyedflow.presets.flight import FALL_BACKS, FLIGHT
@@ -141,6 +142,35 @@ def map_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.filter("friendly_name is not null")
 
 
+def name_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dictionary of event types with many versions of each, made from parts; some retire a name, some tie."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
+    kinds = F.lit(["click", "view", "purchase", "signup", "unseen"])
+    minutes = F.col("p_partkey") * 37 % 43_200
+    return parts.select(
+        F.element_at(kinds, (F.col("p_size") % 5 + 1).cast("int")).alias("name"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + minutes * 60).alias("valid_from"),
+        F.when(F.col("p_size") % 10 > 0, F.concat_ws("/", "p_brand", "p_partkey")).alias("target"),
+        "p_partkey",
+    )
+
+
+def _as_of(spark: SparkSession, sf_dir: str, way: str | None) -> DataFrame:
+    rows = events(spark, sf_dir).select("event_id", "event_type", "ts")
+    named = names_as_of(rows, name_versions(spark, sf_dir), "event_type", "ts", "friendly_name", ["p_partkey"], way)
+    return named.drop("ts")
+
+
+def versioned_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The name that a dictionary table gave each event's type at its time."""
+    return _as_of(spark, sf_dir, None)
+
+
+def versioned_names_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as for a dictionary too large to broadcast."""
+    return _as_of(spark, sf_dir, MERGE)
+
+
 def strip_and_upper(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         "o_orderkey",
@@ -597,6 +627,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         normalize_timestamp,
         validate_date,
         map_names,
+        versioned_names,
+        versioned_names_merged,
         strip_and_upper,
         null_rules_main,
         null_rules_keylog,
