@@ -26,6 +26,36 @@ def latest_per_key_aggregated(df: DataFrame, keys: Sequence[str], order: Sequenc
     return df.groupBy(*keys).agg(newest).select(*keys, "_newest.*").select(*df.columns)
 
 
+#: Columns of a row's address: its file by two hashes of the path, and its place in there.
+ADDRESS = ("_file", "_file_too", "_row")
+
+
+def with_address(df: DataFrame) -> DataFrame:
+    """Rows read from Parquet files with their address, which stays the same however the scan is split."""
+    path = F.col("_metadata.file_path")
+    address = (F.xxhash64(path), F.xxhash64(path, F.lit(1)), F.col("_metadata.row_index"))
+    return df.select("*", *[c.alias(name) for name, c in zip(ADDRESS, address, strict=True)])
+
+
+def rows_at(df: DataFrame, addresses: DataFrame) -> DataFrame:
+    """The rows of a Parquet scan at the given addresses.
+
+    Spark broadcasts the addresses below its threshold, and then no row is shuffled. Above it, rows whose address
+    is not asked for are left out before the shuffle by a Bloom filter of the addresses, where runtime filters
+    (``spark.sql.optimizer.runtime.bloomFilter``) judge that worth while.
+    """
+    return with_address(df).join(addresses.select(*ADDRESS), list(ADDRESS), "left_semi").drop(*ADDRESS)
+
+
+def latest_per_key_late(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """:func:`latest_per_key` of rows read from Parquet files, shuffling keys, order and addresses only.
+
+    The rest of each winner is fetched by its address. Ties that ``order`` leaves are broken by address.
+    """
+    slim = with_address(df).select(*dict.fromkeys((*keys, *order)), *ADDRESS)
+    return rows_at(df, latest_per_key(slim, keys, [*order, *ADDRESS]))
+
+
 def merge_newer(
     base: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:

@@ -202,6 +202,13 @@ SELECT carrier || '-' || num || '-' || day || '-' || org AS flight_key, strftime
 FROM m WHERE k NOT BETWEEN 5 AND 14"""
 )
 
+REJECTS = f"""
+WITH {EVENTS}
+SELECT CASE WHEN event_type = 'error' THEN 'invalid_json' WHEN k < 5 THEN 'missing_field'
+            ELSE 'invalid_date' END AS reject_reason,
+       event_id AS sequence_number, strftime(date_trunc('hour', ts), '{MILLIS}Z') AS enqueued
+FROM e WHERE event_type = 'error' OR k < 10"""
+
 VERSIONED_NAMES = """
 WITH versions AS (
   SELECT ['click', 'view', 'purchase', 'signup', 'unseen'][p_size % 5 + 1] AS name,
@@ -273,6 +280,7 @@ SELECT * FROM ({GAPS}) WHERE acdm_id IS NOT NULL AND flight_number IS NOT NULL A
 SELECT * FROM ({GAPS}) WHERE flight_number IS NOT NULL AND scheduledate IS NOT NULL AND origin IS NOT NULL""",
     "latest_per_key_window": LATEST_EVENTS,
     "latest_per_key_maxby": LATEST_EVENTS,
+    "latest_per_key_late_fetch": LATEST_EVENTS,
     "latest_with_ties": """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC) = 1""",
@@ -313,13 +321,11 @@ SELECT l_orderkey, CASE s WHEN 'F' THEN 3 ELSE 2 END AS n_low, CASE s WHEN 'O' T
 FROM o""",
     "documents": DOCUMENTS,
     "document_maps": DOCUMENT_MAPS,
+    "documents_variant": DOCUMENTS,
+    "documents_late": DOCUMENTS,
     "key_log": KEY_LOG,
-    "rejects": f"""
-WITH {EVENTS}
-SELECT CASE WHEN event_type = 'error' THEN 'invalid_json' WHEN k < 5 THEN 'missing_field'
-            ELSE 'invalid_date' END AS reject_reason,
-       event_id AS sequence_number, strftime(date_trunc('hour', ts), '{MILLIS}Z') AS enqueued
-FROM e WHERE event_type = 'error' OR k < 10""",
+    "rejects": REJECTS,
+    "rejects_variant": REJECTS,
     "top1_config": """
 SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'
 ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1""",

@@ -22,8 +22,8 @@ from keyedflow.operators.attributes import (
     with_alias_keys,
 )
 from keyedflow.operators.keys import with_business_key
-from keyedflow.operators.latest import latest_per_key, latest_per_key_aggregated
-from keyedflow.operators.parse import all_present, parse_json
+from keyedflow.operators.latest import latest_per_key, latest_per_key_aggregated, latest_per_key_late
+from keyedflow.operators.parse import all_present, allow_repeated_names, parse_json, parse_variant
 from keyedflow.operators.times import normalize_timestamps, with_valid_date
 from keyedflow.operators.versions import MERGE, names_as_of
 from keyedflow.plans.job import job_from_setting, start_job
@@ -375,13 +375,39 @@ def document_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_entries(docs.documents(parsed_messages(spark, sf_dir), FLIGHT))
 
 
+def documents_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents by way of variants."""
+    allow_repeated_names(spark)
+    parsed = docs.parse_messages(batch_of_messages(spark, sf_dir), FLIGHT, parse_variant)
+    return document_scalars(docs.documents(parsed, FLIGHT))
+
+
+def rejects_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    allow_repeated_names(spark)
+    return _rejects(docs.parse_messages(batch_of_messages(spark, sf_dir), FLIGHT, parse_variant))
+
+
+def documents_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents with bodies fetched for the newest messages only."""
+    return document_scalars(docs.documents_late(batch_of_messages(spark, sf_dir), FLIGHT))
+
+
+def latest_per_key_late_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    newest = latest_per_key_late(table(spark, sf_dir, "events"), ["user_id", "event_type"], ["ts", "event_id"])
+    return newest.select(*EVENT_COLUMNS)
+
+
 def key_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = docs.key_log(parsed_messages(spark, sf_dir), FLIGHT)
     return log.select("flight_key", iso_text(F.col("enqueuedTime")).alias("enqueued"))
 
 
 def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rejected = docs.rejects(parsed_messages(spark, sf_dir), FLIGHT)
+    return _rejects(parsed_messages(spark, sf_dir))
+
+
+def _rejects(parsed: DataFrame) -> DataFrame:
+    rejected = docs.rejects(parsed, FLIGHT)
     enqueued = iso_text(F.col("enqueued_datetime")).alias("enqueued")
     return rejected.select("reject_reason", "sequence_number", enqueued)
 
@@ -635,6 +661,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         latest_per_key_window,
         latest_per_key_maxby,
         latest_with_ties,
+        latest_per_key_late_fetch,
         explode_attributes,
         pivot_attributes_arrayform,
         pivot_attributes_rowform,
@@ -643,8 +670,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         typed_groups,
         documents,
         document_maps,
+        documents_variant,
+        documents_late,
         key_log,
         rejects,
+        rejects_variant,
         top1_config,
         batch_metrics,
         append_partitioned,

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyedflow.presets.flight import FLIGHT
-from keyedflow.session import use_utc
+from keyedflow.session import scratch_folder, use_utc
 
 #: Payload fields that hold a label of their own and the event's number, so that none can stand in for another.
 LABELLED_FIELDS = {
@@ -91,7 +91,22 @@ def hours_later(ts: Column, hours: int) -> Column:
     return F.timestamp_micros(F.unix_micros(ts) + hours * 3_600_000_000)
 
 
+_landed: dict[tuple[str, str, str], str] = {}
+
+
 def flight_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages of :func:`made_messages` as they land: written once per application and read from there."""
+    base = spark.conf.get("spark.checkpoint.dir", "")
+    place = (spark.sparkContext.applicationId, base, sf_dir)
+    if place not in _landed:
+        folder = scratch_folder(spark, "messages")
+        made_messages(spark, sf_dir).repartition(16).write.parquet(folder)
+        _landed[place] = folder
+    schema = "Body binary, enqueuedTime timestamp, sequenceNumber long"
+    return use_utc(spark).read.schema(schema).parquet(_landed[place])
+
+
+def made_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One flight message per event, as ``Body`` (binary), ``enqueuedTime`` and ``sequenceNumber``.
 
     ``error`` events give broken JSON of several kinds; ``k`` decides on missing fields, bad dates, lists and
