@@ -9,6 +9,7 @@ labels: the two fingerprints collide in that table. No pair within the radius is
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -27,6 +28,8 @@ VECTORS = range(1, 16)
 SHINGLE_BLOCK = 1 << 16
 #: Fingerprints of one bucket that are compared directly; a larger bucket is covered again on its free bits.
 DIRECT = 4096
+#: With so few free bits a bucket holds 4,096 distinct fingerprints at most and is compared whatever its size.
+FEWEST_FREE = 12
 
 BITS = [np.uint64(1 << i) for i in range(64)]
 
@@ -86,28 +89,32 @@ def signed(bits: int) -> int:
     return bits - (1 << 64) if bits >= 1 << 63 else bits
 
 
-def bucketed(prints: DataFrame, paths: list[list[int]]) -> DataFrame:
+@lru_cache(maxsize=1 << 14)
+def tables_below(path: str) -> tuple[list[str], np.ndarray]:
+    """Names of the tables below a path, and the bits that members of their buckets share."""
+    taken = [int(x) for x in path.split(".") if x]
+    free = free_bits(taken)
+    masks = covering_masks(free)
+    shared = [(mask | ~free) & ((1 << 64) - 1) for mask in masks.values()]
+    return [".".join(map(str, [*taken, v])) for v in masks], np.array(shared, np.uint64)
+
+
+def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``path``, ``key``, ``fp``: each fingerprint in the tables below its path."""
-    tables = []
-    for path in paths:
-        free = free_bits(path)
-        for vector, mask in covering_masks(free).items():
-            compared = (mask | ~free) & ((1 << 64) - 1)
-            tables.append((path, path + [vector], compared))
-    name = lambda path: ".".join(map(str, path))
-    choices = {}
-    for path, deeper, compared in tables:
-        choices.setdefault(name(path), []).append(
-            F.struct(
-                F.lit(name(deeper)).alias("path"), F.col("fp").bitwiseAND(F.lit(signed(compared))).alias("key")
+    for batch in batches:
+        paths = batch["path"].dictionary_encode()
+        codes, prints = paths.indices.to_numpy(), batch["fp"].to_numpy().view(np.uint64)
+        for code, path in enumerate(paths.dictionary.to_pylist()):
+            names, shared = tables_below(path)
+            mine = prints[codes == code]
+            keys = (mine[:, None] & shared).ravel()
+            yield pa.record_batch(
+                {
+                    "path": pa.DictionaryArray.from_arrays(np.tile(np.arange(len(names), dtype=np.int32), len(mine)), names).cast(pa.string()),
+                    "key": pa.array(keys.view(np.int64)),
+                    "fp": pa.array(np.repeat(mine, len(names)).view(np.int64)),
+                }
             )
-        )
-    buckets = None
-    for path, structs in choices.items():
-        part = prints if len(choices) == 1 else prints.filter(F.col("path") == path)
-        part = part.select("fp", F.inline(F.array(*structs)))
-        buckets = part if buckets is None else buckets.union(part)
-    return buckets.select("path", "key", "fp")
 
 
 def popcount(x: np.ndarray) -> np.ndarray:
@@ -137,7 +144,7 @@ class Buckets:
         self.radius, self.direct = radius, direct
         self.name: tuple | None = None
         self.members: list[np.ndarray] = []
-        self.held, self.large = 0, False
+        self.held, self.large, self.may_grow = 0, False, True
 
     def close(self) -> Iterator[tuple]:
         if not self.large and self.held > 1:
@@ -150,9 +157,10 @@ class Buckets:
         if name != self.name:
             yield from self.close()
             self.name = name
+            self.may_grow = bin(free_bits([int(x) for x in name[0].split(".")])).count("1") > FEWEST_FREE
         self.members.append(prints)
         self.held += len(prints)
-        if self.large or self.held > self.direct:
+        if self.large or (self.held > self.direct and self.may_grow):
             self.large = True
             for member in np.concatenate(self.members):
                 yield (name[0], int(member), None)
@@ -195,23 +203,23 @@ def linker(radius: int, direct: int):
 def near_links(prints: DataFrame, radius: int = RADIUS, direct: int = DIRECT) -> DataFrame:
     """``a``, ``b``: links of distinct fingerprints ``fp``, at least one path of them for every near pair.
 
-    Buckets of more than ``direct`` members are covered again on the bits their tables left free, and so on
-    until a bucket has so few free bits that it can't hold more members; nothing is capped or dropped.
+    Buckets of more than ``direct`` members are covered again on the bits their tables left free, twice at most:
+    then so few bits are free that a bucket can't hold many. Nothing is capped or dropped.
     """
+    spark = prints.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     links = None
-    todo = prints.select("fp")
-    paths: list[list[int]] = [[]]
-    while paths:
-        parts = todo.sparkSession.conf.get("spark.sql.shuffle.partitions")
-        buckets = bucketed(todo, paths).repartition(int(parts), "path", "key").sortWithinPartitions("path", "key")
+    todo = prints.select(F.lit("").alias("path"), "fp")
+    while True:
+        buckets = todo.mapInArrow(deal, "path string, key long, fp long")
+        buckets = buckets.repartition(parts, "path", "key").sortWithinPartitions("path", "key")
         found = saved(buckets.mapInArrow(linker(radius, direct), "path string, a long, b long"), "bucket-links")
         direct_links = found.filter(F.col("b").isNotNull()).select("a", "b")
         links = direct_links if links is None else links.union(direct_links)
         large = found.filter(F.col("b").isNull())
-        # Paths are table numbers, at most 15 to the power of the depth, whatever the number of rows.
-        paths = [[int(x) for x in r["path"].split(".")] for r in large.select("path").distinct().collect()]
+        if large.isEmpty():
+            return links
         todo = large.select("path", F.col("a").alias("fp"))
-    return links
 
 
 def simhash_components(
