@@ -61,7 +61,7 @@ def test_stages_take_effect(spark, stages):
     assert single.count() == len(lowered)
     assert all(r["kept"] for r in exact.exact_duplicates(single).collect())
     groups = simhash.simhash_duplicates(single).select("component_id").distinct().count()
-    assert apart.count() <= groups
+    assert apart.count() == groups
     bench = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
     hits = {r["doc_id"]: r["contaminated"] for r in decontaminate.contamination(apart, bench).collect()}
     assert any(hits.values())
@@ -85,9 +85,11 @@ def test_run_gives_the_last_stage(spark, stages, tokenizer_path):
     assert whole["ids_crc32"] == zlib.crc32(ids.tobytes())
 
 
-def test_near_stage_is_brute_force_jaccard(stages):
-    from test_duplicates import brute_similar
+def test_near_stage_is_brute_force_simhash(stages):
+    from test_duplicates import brute_components, brute_fingerprint
 
     rows = sorted((r["doc_id"], r["text"]) for r in stages[2].collect())
-    label = brute_similar([text for _, text in rows])
-    assert sorted(r["doc_id"] for r in stages[3].collect()) == sorted(rows[i][0] for i in set(label))
+    first = {}
+    for (doc_id, _), label in zip(rows, brute_components([brute_fingerprint(t) for _, t in rows]), strict=True):
+        first.setdefault(label, doc_id)
+    assert sorted(r["doc_id"] for r in stages[3].collect()) == sorted(first.values())

@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 
-from keyedflow.llm import common, decontaminate, exact, html_text, jaccard, language, repeats, simhash
+from keyedflow.llm import common, decontaminate, exact, html_text, language, repeats, simhash
 
 BENCH = [(1, "a passage of words that several documents of this table share from its first to its very last letter")]
 
@@ -21,7 +21,6 @@ OPERATORS = {
     "language": lambda rows, spark: language.drop_other_languages(rows),
     "exact": lambda rows, spark: exact.drop_exact_duplicates(rows, keep="largest"),
     "simhash": lambda rows, spark: simhash.drop_near_duplicates(rows),
-    "jaccard": lambda rows, spark: jaccard.drop_near_copies(rows),
     "contaminated": lambda rows, spark: decontaminate.drop_contaminated(rows, spark.createDataFrame(BENCH, "item_id long, text string")),
 }
 
@@ -44,7 +43,7 @@ def test_splits_may_change_between_jobs(spark, corpus, monkeypatch, name):
         deal()
         return found
 
-    for module in (decontaminate, exact, html_text, jaccard, language, repeats, simhash):
+    for module in (decontaminate, exact, html_text, language, repeats, simhash):
         monkeypatch.setattr(module, "saved", saved)
     try:
         deal()
