@@ -19,13 +19,15 @@ from keyedflow.llm.common import release, scratch_path, ship_package
 from keyedflow.llm.tokens import encoder, groups_of
 
 END = 0
+#: Words whose ids a worker keeps. No other work shares the worker's memory, so there may be many.
+CACHE_WORDS = 500_000
 ROW_GROUP_BYTES, PAGE_ROWS = 16 << 20, 2_000
 FILE_SCHEMA = "doc_id long, part int, before long, n_tokens long, tokens array<int>"
 
 
 def tokenizer_task(path: str, end: int | None):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        encode = encoder(path, CACHE_WORDS).encode
         close = b"" if end is None else int(end).to_bytes(4, "little")
         part, before = TaskContext.get().partitionId(), 0
         for batch in release(batches):

@@ -7,7 +7,7 @@ import re
 from array import array
 from collections.abc import Callable, Iterable
 
-#: Words whose ids a worker keeps, and the longest that is kept.
+#: Words whose ids a worker keeps unless an operator has room for more, and the longest that is kept.
 CACHE_WORDS, CACHE_LENGTH = 200_000, 48
 
 #: A space between two white-space characters, or between one and the end.
@@ -26,16 +26,16 @@ PARTED = re.compile("(?!\n)(?:" + "|".join(run.replace("]+", "]++") for run in _
 class Recent(dict):
     """What ``make`` gives for a word. Keeps the words used most recently, in two generations."""
 
-    def __init__(self, make: Callable[[str], bytes]):
+    def __init__(self, make: Callable[[str], bytes], size: int):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.size, self.old = make, size, {}
 
     def __missing__(self, word: str) -> bytes:
         ids = self.old.get(word)
         if ids is None:
             ids = self.make(word)
         if len(word) <= CACHE_LENGTH:
-            if len(self) * 2 >= CACHE_WORDS:
+            if len(self) * 2 >= self.size:
                 self.old = self.copy()
                 self.clear()
             self[word] = ids
@@ -45,8 +45,8 @@ class Recent(dict):
 class Words(Recent):
     """Ids of words after a space. A word with signs after it is put together, not kept."""
 
-    def __init__(self, make: Callable[[str], bytes], signs: Recent):
-        super().__init__(make)
+    def __init__(self, make: Callable[[str], bytes], size: int, signs: Recent):
+        super().__init__(make, size)
         self.signs = signs
 
     def __missing__(self, word: str) -> bytes:
@@ -65,7 +65,8 @@ class Encoder:
     after visible ASCII characters. Strings of special tokens count as ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words: int | None = None):
+        words = words or CACHE_WORDS
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -77,8 +78,8 @@ class Encoder:
         self.spelling = {b: spell(chr(b))[0][0] for b in range(128)}
         wide = [spell(chr(64 * a + b))[0][0] for a in (2, 3) for b in range(64)]
         self.spelling |= {0xC2: wide[0][0], 0xC3: wide[64][0]} | {0x80 + b: wide[b][1] for b in range(64)}
-        self.parts = Recent(self._part)
-        self.words = Words(self._word, self.parts)
+        self.parts = Recent(self._part, words)
+        self.words = Words(self._word, words, self.parts)
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -112,14 +113,14 @@ class Encoder:
         return found
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The encoder of this worker process; its cache outlives a task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, words: int | None = None) -> Encoder:
+    """The encoder of this worker process, with a cache of so many words, which outlives a task."""
+    if (path, words) not in _ENCODERS:
+        _ENCODERS[path, words] = Encoder(path, words)
+    return _ENCODERS[path, words]
 
 
 #: Text characters that are encoded together, which bounds memory where rows are long.
