@@ -20,7 +20,7 @@ from keyedflow.llm.tokens import encoder, groups_of
 
 END = 0
 #: Words whose ids a worker keeps. No other work shares the worker's memory, so there may be many.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 700_000
 ROW_GROUP_BYTES, PAGE_ROWS = 16 << 20, 2_000
 FILE_SCHEMA = "doc_id long, part int, before long, n_tokens long, tokens array<int>"
 
