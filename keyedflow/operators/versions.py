@@ -16,6 +16,9 @@ from keyedflow.operators.latest import latest_per_key
 #: A name with more than this share of all rows is spread; there can't be more than 1,000 of those.
 HOT_SHARE = 1 / 1000
 
+#: Versions of one name up to which a row may be compared with all of them.
+MOST_VERSIONS = 100
+
 BROADCAST, MERGE = "broadcast", "merge"
 
 
@@ -35,14 +38,16 @@ def names_as_of(
     keep their columns and their number, repeats included.
 
     A dictionary below ``spark.sql.autoBroadcastJoinThreshold``, by a count of its bytes, is broadcast, and rows
-    are not shuffled. A larger one meets the rows by name, and both are merged in order of time, so that a
+    are not shuffled; each is compared with the versions of its name. A larger one, or one with many versions of
+    a name, meets the rows by name, and both are merged in order of time, so that a
     row costs the same however many versions its name has. Names with many rows are spread over several
     groups, each with all versions of the name. ``way`` forces one of the two.
     """
     keyed = versions.filter("name is not null and valid_from is not null")
     single = latest_per_key(keyed, ["name", "valid_from"], [*tie, "target"]).select("name", "valid_from", "target")
     if way is None:
-        way = BROADCAST if _bytes(single) <= _threshold(rows) else MERGE
+        size, most = _size(single)
+        way = BROADCAST if size <= _threshold(rows) and most <= MOST_VERSIONS else MERGE
     return (_with_broadcast if way == BROADCAST else _with_merge)(rows, single, name, time, out)
 
 
@@ -52,10 +57,12 @@ def _threshold(rows: DataFrame) -> int:
     return spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
 
 
-def _bytes(versions: DataFrame) -> int:
-    """Bytes of the names and targets, with what a row takes besides."""
+def _size(versions: DataFrame) -> tuple[int, int]:
+    """Bytes of the names and targets, with what a row takes besides, and the most versions of one name."""
     size = F.octet_length("name") + F.coalesce(F.octet_length(F.col("target").cast("string")), F.lit(0)) + 64
-    return versions.agg(F.sum(size)).first()[0] or 0
+    each = versions.groupBy("name").agg(F.sum(size).alias("bytes"), F.count(F.lit(1)).alias("versions"))
+    found = each.agg(F.sum("bytes"), F.max("versions")).first()
+    return found[0] or 0, found[1] or 0
 
 
 def _with_broadcast(rows: DataFrame, versions: DataFrame, name: str, time: str, out: str) -> DataFrame:
