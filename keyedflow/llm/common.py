@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -12,6 +12,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keyedflow.session import scratch_folder
+from keyedflow.sinks.files import remove
+
 #: The row key that operators carry. Inputs may hold any column but this one.
 ROW = "__row"
 
@@ -46,13 +49,44 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``; sets one of its own only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
+    """A fresh folder below ``spark.checkpoint.dir``, which all executors share.
+
+    Where that is unset, a local session gets a folder of its own; a cluster has to name one.
+    """
+    if not spark.conf.get("spark.checkpoint.dir", None) and LOCAL.match(spark.sparkContext.master):
         base = tempfile.mkdtemp(prefix="keyedflow-llm-")
         spark.sparkContext.setCheckpointDir(base)
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return scratch_folder(spark, name)
+
+
+#: Masters whose tasks run in the driver's process.
+LOCAL = re.compile(r"local(\[|$)")
+
+#: Frees the shuffle files of a query when it ends; what it wrote is complete then, and no later job reads them.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(frame: DataFrame, name: str, compression: str = "zstd") -> tuple[DataFrame, str]:
+    """Rows in a shared scratch table, and its folder, for ``freed`` when no frame that is still to run reads it.
+
+    The shuffle files behind the table are removed as soon as it is written.
+    """
+    spark = frame.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        frame.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+    return spark.read.schema(frame.schema).parquet(path), path
+
+
+def freed(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch tables that nothing reads any more."""
+    for path in paths:
+        remove(spark, path)
 
 
 def saved(frame: DataFrame, name: str) -> DataFrame:
