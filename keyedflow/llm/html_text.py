@@ -2,15 +2,19 @@
 
 The pages of a host are merged into one tree: a node is a path of elements with their classes. A node whose
 children look alike and whose content is the same on most pages (low entropy of presentation and content) is
-boilerplate, and its branch is removed from each page. Elements that name their own purpose (``nav``, an
-``ad`` class) have no importance from the start, and an ``article`` outranks what stands around it.
+boilerplate, and its branch is removed from each page; so is a single content (a paragraph, heading, item, cell
+or box) that most pages with its node repeat. Nodes that too few pages of their host have are judged by the
+pages of all hosts. Names of elements are evidence beside that: what is called ``nav`` or ``ad`` counts only
+where an article or main element stands in it and nothing better is on the page.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -18,14 +22,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyedflow.llm.common import ROW, numbered_once, saved, ship_package
+from keyedflow.llm.common import ROW, freed, ship_package, stored, with_row_key
 
-#: A branch on fewer pages of a host is never judged; one below this importance is removed.
+#: A node on fewer pages of a host is judged by all hosts; a branch or content below this importance is removed.
 FEWEST_PAGES, LEAST_IMPORTANCE = 10, 0.2
+#: Stands for all hosts together; no address has such a host.
+ALL_HOSTS = "*"
 #: How much of a node's importance comes from its content; the power is its number of children.
 CONTENT_WEIGHT = 0.9
-#: Elements deeper than this count as part of the one above.
-DEEPEST = 200
 
 # Names from the HTML standard, and words that sites use in classes and identifiers.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -34,10 +38,14 @@ INLINE = set(
     "small span strike strong sub sup time tt u var wbr".split()
 )
 SILENT = set(
-    "head script style template noscript nav aside footer form button select option textarea input iframe "
-    "object svg canvas audio video menu dialog".split()
+    "head script style template noscript button select option textarea input iframe object svg canvas audio "
+    "video menu dialog".split()
 )
+SURROUNDING = set("nav aside footer header".split())
 BOXES = set("div section ul ol dl table figure details center blockquote".split())
+CONTENTS = set("p h1 h2 h3 h4 h5 h6 li dt dd td th tr pre figcaption summary".split())
+#: Words that make a name speak of a state of the page instead of the element's purpose (``no-sidebar``).
+STATES = set("no not non has have with without is enabled disabled".split())
 PURPOSES = set(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner menu nav navbar "
     "navigation breadcrumb breadcrumbs sidebar aside footer masthead cookie cookies consent gdpr notice alert "
@@ -56,33 +64,63 @@ TELLING = re.compile(r"class|id|role", re.IGNORECASE)  # "hidden" has an "id", t
 RAW = {tag: re.compile(rf"</{tag}(?![a-z0-9])", re.IGNORECASE) for tag in ("script", "style", "textarea", "title")}
 
 
+#: How suspect an element is: not at all, by a word in its names (or a form), by its tag.
+CLEAN, BY_NAME, BY_TAG = 0, 1, 2
+
+
+@lru_cache(1 << 14)
+def names_purpose(name: str) -> bool:
+    """Whether a class, identifier or role says that its element is none of the text."""
+    words = set(WORDS.findall(name))
+    return bool(words & PURPOSES) and not words & STATES
+
+
+@lru_cache(1 << 14)
+def label_of(tag: str, names: tuple[str, ...]) -> str:
+    return ".".join([tag, *sorted({w for name in names for w in WORDS.findall(name)})])
+
+
+@lru_cache(1 << 16)
+def path_below(path: int, label: str) -> int:
+    return hash_of(f"{path}/{label}")
+
+
 class Element:
-    __slots__ = ("tag", "path", "silent", "article", "main", "branches", "children", "begin")
+    """An open element; ``suspect``, ``in_article`` and ``in_main`` are how suspect it is on the whole and below the region."""
 
-    def __init__(self, tag, path, silent, article, main, branches, begin):
-        self.tag, self.path, self.silent = tag, path, silent
-        self.article, self.main, self.branches = article, main, branches
+    __slots__ = ("tag", "path", "silent", "suspect", "in_article", "in_main", "node", "children", "begin")
+
+    def __init__(self, tag, path, silent, suspect, in_article, in_main, node, begin):
+        self.tag, self.path, self.silent, self.suspect = tag, path, silent, suspect
+        self.in_article, self.in_main, self.node = in_article, in_main, node
         self.children: list[str] = []
         self.begin = begin
 
 
 class Page:
-    """Blocks of text in page order, and the boxes that can be judged by their host's other pages."""
+    """Blocks of text in page order, and the nodes that can be judged by other pages."""
 
     def __init__(self):
-        self.stack = [Element("", "", False, False, False, (), 0)]
-        #: Text, whether in an article, whether in a main element, and the paths of the boxes around it.
-        self.blocks: list[tuple[str, bool, bool, tuple[str, ...]]] = []
-        #: Path, hash of the text inside, hash of the children's names, number of children.
-        self.boxes: list[tuple[str, int, int, int]] = []
+        self.stack = [Element("", 0, False, CLEAN, None, None, -1, 0)]
+        self.open: Counter[str] = Counter()
+        #: Text, how suspect it is on the whole, in its article, in its main element (None: in none), innermost node.
+        self.blocks: list[tuple[str, int, int | None, int | None, int]] = []
+        #: Of each node: the node around it, its path, and the hash of the text inside once it is closed.
+        self.nodes: list[list[int]] = []
+        #: Path, hash of the text inside, hash of the children's names, number of children, whether it is a box.
+        self.boxes: list[tuple[int, int, int, int, bool]] = []
         self.text: list[str] = []
+        #: Hashes of the first n blocks, and powers, from which the hash of any run of blocks follows.
+        self.sums, self.powers = [0], [1]
 
     def flush(self) -> None:
         top = self.stack[-1]
         if self.text and not top.silent:
             text = " ".join("".join(self.text).split())
             if text:
-                self.blocks.append((text, top.article, top.main, top.branches))
+                self.blocks.append((text, top.suspect, top.in_article, top.in_main, top.node))
+                self.sums.append((self.sums[-1] * FACTOR + hash_of(text)) % MODULUS)
+                self.powers.append(self.powers[-1] * FACTOR % MODULUS)
         self.text = []
 
     def start(self, tag: str, rest: str) -> None:
@@ -93,38 +131,43 @@ class Page:
         if tag not in INLINE and tag not in ("html", "body"):
             self.close_open({"p"} if tag not in CLOSES else CLOSES[tag] | {"p"})
         top = self.stack[-1]
-        if len(self.stack) > DEEPEST:
-            return
         names: list[str] = []
         silent = top.silent or tag in SILENT
         for key, *values in ATTRIBUTE.findall(rest) if TELLING.search(rest) else ():
             if key.lower() in ("class", "id", "role"):
-                names += WORDS.findall("".join(values).lower())
+                names += "".join(values).lower().split()
             elif key.lower() == "hidden":
                 silent = True
-        if tag not in ("html", "body", "article", "main"):
-            silent = silent or bool(PURPOSES.intersection(names))
-        silent = silent or ((tag == "header" or "header" in names) and not top.article and tag not in ("html", "body", "article", "main"))
-        if tag == "article" and PURPOSES.intersection(names):
-            silent = True  # readers' comments are often articles within the article
-        label = ".".join([tag, *sorted(set(names))])
-        path = f"{top.path}/{label}" if tag not in INLINE else top.path
-        box = tag in BOXES and not silent
+        suspect = CLEAN
+        if tag not in ("html", "body", "main"):
+            if any(map(names_purpose, names)) or tag == "form":
+                suspect = BY_NAME
+            if "header" in names and top.in_article is None and tag != "article":
+                suspect = BY_NAME
+            if tag in SURROUNDING and (tag != "header" or top.in_article is None):
+                suspect = BY_TAG
+        if tag in INLINE:  # no article stands in it
+            silent = silent or suspect != CLEAN
+        label = label_of(tag, tuple(names))
+        path, node = top.path, top.node
         if tag not in INLINE:
+            path = path_below(top.path, label)
             top.children.append(label)
+            if (tag in BOXES or tag in CONTENTS) and not silent:
+                self.nodes.append([node, path, 0])
+                node = len(self.nodes) - 1
+        in_article, in_main = (
+            CLEAN if inside is None and begins else inside if inside is None else max(inside, suspect)
+            for inside, begins in ((top.in_article, tag == "article"), (top.in_main, tag == "main" or "main" in names))
+        )
+        self.open[tag] += 1
         self.stack.append(
-            Element(
-                tag,
-                path,
-                silent,
-                top.article or tag == "article",
-                top.main or tag == "main" or "main" in names,
-                top.branches + (path,) if box else top.branches,
-                len(self.blocks),
-            )
+            Element(tag, path, silent, max(top.suspect, suspect), in_article, in_main, node, len(self.blocks))
         )
 
     def close_open(self, tags: set[str]) -> None:
+        if not any(self.open[t] for t in tags):
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag in tags:
                 self.pop_to(i)
@@ -138,13 +181,19 @@ class Page:
             if top.tag not in INLINE:
                 self.flush()
             self.stack.pop()
-            if top.tag in BOXES and not top.silent and len(self.blocks) > top.begin:
-                inside = " ".join(b[0] for b in self.blocks[top.begin :])
-                self.boxes.append((top.path, hash_of(inside), hash_of("|".join(top.children)), len(top.children)))
+            self.open[top.tag] -= 1
+            box = top.tag in BOXES
+            if (box or top.tag in CONTENTS) and not top.silent and len(self.blocks) > top.begin:
+                n = len(self.blocks) - top.begin
+                content = (self.sums[-1] - self.sums[top.begin] * self.powers[n]) % MODULUS
+                self.nodes[top.node][2] = content
+                self.boxes.append((top.path, content, hash_of("|".join(top.children)), len(top.children), box))
 
     def end(self, tag: str) -> None:
         if tag not in INLINE:
             self.flush()
+        if not self.open[tag]:
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
                 self.pop_to(i)
@@ -203,11 +252,41 @@ class Page:
         self.data("<")
         return sign + 1
 
-    def main_text(self, removed: set[str]) -> str:
-        """Blocks of the articles, else of the main elements, else of the page, without removed branches."""
-        region = [b for b in self.blocks if b[1]] or [b for b in self.blocks if b[2]] or self.blocks
-        kept = [b for b in region if not removed.intersection(b[3])]
-        return " ".join(b[0] for b in (kept or region))
+    def region(self) -> list[tuple]:
+        """Blocks of the articles, else of the main elements, else of the page, without suspect elements.
+
+        A region within suspect elements counts where it holds more text than all that is not suspect. If a page
+        has nothing but text in elements with suspect names, that is its text.
+        """
+        for inside in (2, 3):
+            found = [b for b in self.blocks if b[inside] == CLEAN and b[1] == CLEAN]
+            if found:
+                return found
+        clean = [b for b in self.blocks if b[1] == CLEAN]
+        for inside in (2, 3):
+            found = [b for b in self.blocks if b[inside] == CLEAN]
+            if sum(len(b[0]) for b in found) > sum(len(b[0]) for b in clean):
+                return found
+        return clean or [b for b in self.blocks if b[1] == BY_NAME]
+
+    def main_text(self, removed: set[int]) -> str:
+        """The region without removed branches and contents; all of it if nothing would be left."""
+        region = self.region()
+        if removed:
+            gone: list[bool] = []
+            for around, path, content in self.nodes:
+                gone.append((around >= 0 and gone[around]) or path in removed or content_key(path, content) in removed)
+            kept = [b for b in region if b[4] < 0 or not gone[b[4]]]
+            region = kept or region
+        return " ".join(b[0] for b in region)
+
+
+#: Hashes of runs of blocks are taken modulo a prime.
+MODULUS, FACTOR = (1 << 61) - 1, 0x1F3D5B79A2C4E687 % ((1 << 61) - 1)
+
+
+def content_key(path: int, content: int) -> int:
+    return hash_of(f"{path}={content}")
 
 
 def hash_of(text: str) -> int:
@@ -225,51 +304,80 @@ def host_of(url: str | None) -> str:
         return ""
 
 
-BOX_ROWS = f"{ROW} long, host string, path string, content long, style long, children long, page long"
+BOX_ROWS = f"{ROW} long, host string, path long, content long, style long, children long, box boolean, page long, key long"
 
 
 def boxes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        columns: list[list] = [[] for _ in range(7)]
+        columns: list[list] = [[] for _ in range(9)]
         for row, url, html in zip(batch[ROW].to_pylist(), batch["url"], batch["html"], strict=True):
             html = html.as_py()
             page = parse(html)
             if not page.boxes:
                 continue
             host, whole = host_of(url.as_py()), hash_of(html or "")
-            for path, content, style, children in dict.fromkeys(page.boxes):
-                for column, value in zip(columns, (row, host, path, content, style, children, whole), strict=True):
+            for path, content, style, children, box in dict.fromkeys(page.boxes):
+                values = (row, host, path, content, style, children, box, whole, content_key(path, content))
+                for column, value in zip(columns, values, strict=True):
                     column.append(value)
-        types = (pa.int64(), pa.string(), pa.string(), *[pa.int64()] * 4)
+        types = (pa.int64(), pa.string(), *[pa.int64()] * 4, pa.bool_(), pa.int64(), pa.int64())
         yield pa.record_batch(
             [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-            names=[ROW, "host", "path", "content", "style", "children", "page"],
+            names=[ROW, "host", "path", "content", "style", "children", "box", "page", "key"],
         )
 
 
 def entropy(seen: DataFrame, value: str) -> DataFrame:
     """Entropy of a column over the distinct pages of a node, to the base of their number; 1 for one page."""
     counts = seen.groupBy("host", "path", value).agg(F.count(F.lit(1)).alias("n"))
-    sums = counts.groupBy("host", "path").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("weighted"))
-    value_of = (F.log("pages") - F.col("weighted") / F.col("pages")) / F.log("pages")
-    return sums.select("host", "path", "pages", F.when(F.col("pages") > 1, value_of).otherwise(1.0).alias(value))
+    sums = counts.groupBy("host", "path").agg(F.sum("n").alias("seen"), F.sum(F.col("n") * F.log("n")).alias("weighted"))
+    value_of = (F.log("seen") - F.col("weighted") / F.col("seen")) / F.log("seen")
+    return sums.select("host", "path", F.when(F.col("seen") > 1, value_of).otherwise(1.0).alias(value))
+
 
+def distinct_pages(seen: DataFrame) -> DataFrame:
+    return seen.groupBy("host", "path", "page").agg(F.lit(1).alias("one")).groupBy("host", "path").agg(F.count(F.lit(1)).alias("pages"))
 
-def importance(found: DataFrame) -> DataFrame:
-    """``host``, ``path``, ``pages``, ``importance`` of the style tree's nodes, from the boxes of all pages.
+
+def importance(seen: DataFrame) -> DataFrame:
+    """``host``, ``path``, ``pages``, ``importance`` of the style tree's nodes that are boxes.
 
     Copies of a page count once, or a site of copies would look like nothing but boilerplate. Counts are
     summed per content before they are summed per node, so a host with very many pages is no single group.
     """
-    seen = found.groupBy("host", "path", "content", "style", "children", "page").agg(F.lit(1).alias("one"))
-    seen = saved(seen, "style-tree")
+    seen = seen.filter("box")
     children = seen.groupBy("host", "path").agg(F.avg("children").alias("children"))
-    both = entropy(seen, "content").join(entropy(seen, "style").drop("pages"), ["host", "path"]).join(children, ["host", "path"])
+    keys = ["host", "path"]
+    both = entropy(seen, "content").join(entropy(seen, "style"), keys).join(children, keys).join(distinct_pages(seen), keys)
     share = F.pow(F.lit(CONTENT_WEIGHT), F.col("children"))
     score = F.col("content") * share + F.col("style") * (1 - share)
     return both.select("host", "path", "pages", F.greatest(score, F.lit(0.0)).alias("importance"))
 
 
+def content_importance(seen: DataFrame) -> DataFrame:
+    """``host``, ``path``, ``key``, ``pages``, ``importance`` of single contents: 1 on one page, 0 on all pages of the node.
+
+    That is one less the entropy of a content over the pages that have it, to the base of the node's pages.
+    """
+    on = seen.groupBy("host", "path", "key", "page").agg(F.lit(1).alias("one")).groupBy("host", "path", "key").agg(F.count(F.lit(1)).alias("n"))
+    both = on.filter("n > 1").join(distinct_pages(seen), ["host", "path"])
+    return both.select("host", "path", "key", "pages", (1 - F.log("n") / F.log("pages")).alias("importance"))
+
+
+def unimportant(seen: DataFrame, fewest_pages: int, least_importance: float) -> DataFrame:
+    """``host``, ``path``, ``key`` of what goes: a content, or a node where the key is null."""
+    low = (F.col("pages") >= fewest_pages) & (F.col("importance") < least_importance)
+    nodes = importance(seen).filter(low).select("host", "path", F.lit(None).cast("long").alias("key"))
+    return nodes.union(content_importance(seen).filter(low).select("host", "path", "key"))
+
+
+def removed_branches(found: DataFrame, low: DataFrame) -> DataFrame:
+    """Row key and what is removed there: the path of a node or the key of a content."""
+    nodes = found.filter("box").join(low.filter("key IS NULL").select("host", "path"), ["host", "path"])
+    contents = found.join(low.filter("key IS NOT NULL").select("host", "key"), ["host", "key"])
+    return nodes.select(ROW, F.col("path").alias("branch")).union(contents.select(ROW, F.col("key").alias("branch")))
+
+
 EXTRACTED = "page_id {id}, url string, text string"
 
 
@@ -292,14 +400,24 @@ def main_text(
 
     White space within a block becomes one space, blocks are joined by one, and character references are
     decoded. Null and empty pages have an empty text; a null or malformed address is a host of its own name.
-    If all of a page would be removed, its text stays.
+    If all of a page would be removed, its text stays. Nodes that fewer than ``fewest_pages`` pages of their host
+    have are judged by the pages of all hosts, or not at all where these are too few, too.
     """
-    ship_package(pages.sparkSession)
-    numbered = numbered_once(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")))
-    found = saved(numbered.select(ROW, "url", "html").mapInArrow(boxes, BOX_ROWS), "page-boxes")
-    low = importance(found).filter((F.col("pages") >= fewest_pages) & (F.col("importance") < least_importance))
-    removed = found.join(low, ["host", "path"]).groupBy(ROW).agg(F.collect_set("path").alias("removed"))
-    removed = saved(removed, "removed-branches")
+    spark = pages.sparkSession
+    ship_package(spark)
+    slim = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    numbered, _ = stored(with_row_key(slim), "numbered-pages")
+    found, found_path = stored(numbered.select(ROW, "url", "html").mapInArrow(boxes, BOX_ROWS), "page-boxes")
+    what = ["host", "path", "content", "style", "children", "box", "page", "key"]
+    seen, seen_path = stored(found.groupBy(*what).agg(F.lit(1).alias("one")), "style-tree")
+    everywhere = seen.withColumn("host", F.lit(ALL_HOSTS))
+    rare = distinct_pages(seen).filter(F.col("pages") < fewest_pages).select("host", "path")
+    alone = found.join(rare, ["host", "path"], "left_semi").withColumn("host", F.lit(ALL_HOSTS))
+    branches = removed_branches(found, unimportant(seen, fewest_pages, least_importance)).union(
+        removed_branches(alone, unimportant(everywhere, fewest_pages, least_importance))
+    )
+    removed, _ = stored(branches.groupBy(ROW).agg(F.collect_set("branch").alias("removed")), "removed-branches")
+    freed(spark, found_path, seen_path)
     schema = EXTRACTED.format(id=dict(pages.dtypes)[id_col])
     extracted = numbered.join(removed, ROW, "left").drop(ROW).mapInArrow(extractor, schema)
     return extracted.withColumn("n_chars", F.length("text").cast("long"))
