@@ -17,17 +17,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyedflow.llm.common import ROW, drop_rows, numbered_once, release, saved, ship_package, with_row_key
+from keyedflow.llm.common import ROW, drop_rows, freed, numbered_once, release, saved, ship_package, stored, with_row_key
 
 UNDETERMINED = "und"
-#: Labelled text a model is fitted on: rows per language, characters taken of a row, and characters of all
-#: languages together. With more languages each gets less, so that the tables stay of one size.
-SAMPLE_ROWS, SAMPLE_ROW_CHARS, MODEL_CHARS = 256, 2_000, 160_000
-#: Languages that a model can tell apart; with more the fit fails rather than leave one out.
-MOST_LANGUAGES = 400
-#: Symbols that are told apart; rarer ones share the last.
-ALPHABET = 63
-#: Longer texts are parsed in blocks of so many symbols; a phrase ends with its block.
+#: Labelled text a model is fitted on: at most so many rows of a language, and characters taken of a row.
+SAMPLE_ROWS, SAMPLE_ROW_CHARS = 256, 2_000
+#: Symbols that the automata of one pass hold together, which bounds their tables, and languages of a pass: with
+#: fewer languages each has more text, with more there are more passes over the documents.
+MODEL_SYMBOLS, PASS_LANGUAGES = 160_000, 32
+#: Letters with a symbol of their own; a rarer one is written as ``DIGITS`` digits to the base ``RADIX``.
+LETTERS, RADIX, DIGITS = 61, 32, 4
+#: Longer texts are parsed in blocks of so many symbols side by side, each from where the one before it ended.
 BLOCK = 4_096
 #: Characters of a batch that are laid side by side at once.
 LANES_CHARS = 1 << 20
@@ -81,35 +81,64 @@ class Automaton:
         # States are numbered by the place of their row, which saves a multiplication per step.
         self.table = ((table & ~MISS) * width | (table & MISS)).ravel().astype(np.int32)
 
-    def phrases(self, columns: list[np.ndarray], lanes: int) -> np.ndarray:
-        """Phrases of every lane; ``columns[i]`` has the i-th symbols of the lanes that are that long."""
-        states, counts = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
+    def steps(self, columns: list[np.ndarray], states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases that end in every lane, and the states at its end, from those at its start.
+
+        ``columns[i]`` has the i-th symbols of the lanes that are that long.
+        """
+        states, counts = states.copy(), np.zeros(len(states), np.int32)
         for column in columns:
             n = len(column)
             found = self.table[states[:n] + column]
             counts[:n] += found >> 30
             states[:n] = found & ~MISS
-        return counts + 1  # the last phrase ends with the lane
+        return counts, states
+
+    def phrases(self, lanes: list[np.ndarray], owners: np.ndarray) -> np.ndarray:
+        """Phrases that end in each lane; a lane goes on where the lane before it of the same owner ended.
+
+        All lanes start afresh first. Those whose predecessor ends elsewhere are parsed again from there, until
+        nothing changes; mostly they end as before, since a parse soon falls into step with any other.
+        """
+        starts = np.zeros(len(lanes), np.int32)
+        counts, ends = np.zeros(len(lanes), np.int32), np.zeros(len(lanes), np.int32)
+        todo = np.arange(len(lanes))
+        later = np.flatnonzero(owners[1:] == owners[:-1]) + 1
+        while len(todo):
+            order = todo[np.argsort([-len(lanes[i]) for i in todo], kind="stable")]
+            counts[order], ends[order] = self.steps(columns_of([lanes[i] for i in order]), starts[order])
+            todo = later[ends[later - 1] != starts[later]]
+            starts[todo] = ends[todo - 1]
+        return counts
+
+
+def columns_of(lanes: list[np.ndarray]) -> list[np.ndarray]:
+    """A column per step: symbols of all lanes that are so long, which are the first, as the longest come first."""
+    lengths = np.array([len(x) for x in lanes])
+    alive = np.searchsorted(-lengths, -np.arange(1, int(lengths.max()) + 1), side="right")
+    flat = np.concatenate(lanes)
+    begins = np.cumsum(lengths) - lengths
+    return [flat[begins[:n] + i].astype(np.int32) for i, n in enumerate(alive)]
 
 
 class Alphabet:
-    """Symbols of lower-cased characters: letters by frequency, and one symbol for runs of all else."""
+    """Symbols of lower-cased characters: letters of ``known`` have one, others digits, runs of all else share one."""
 
-    def __init__(self, texts: list[str]):
-        codes = np.concatenate([code_points(t.lower()) for t in texts] or [np.zeros(0, np.uint32)])
-        values, counts = np.unique(codes, return_counts=True)
-        letters = [(-int(n), int(v)) for v, n in zip(values, counts, strict=True) if chr(v).isalpha()]
-        self.known = [v for _, v in sorted(letters)[: ALPHABET - 2]]
-        self.width = len(self.known) + 2
+    def __init__(self, known: list[int]):
+        self.known = known
+        self.width = 1 + len(known) + RADIX
 
-    def tables(self) -> tuple[np.ndarray, np.ndarray]:
-        """Symbol of every code point, and whether it is a letter: 0 for no letter, the last for rare letters."""
+    def table(self) -> np.ndarray:
+        """Symbol of every code point: 0 for no letter, ``RARE`` for letters that are written in digits."""
         points = np.arange(sys.maxunicode + 1)
         letter = np.fromiter((chr(p).isalpha() for p in points), bool, len(points))
-        symbol = np.where(letter, self.width - 1, 0).astype(np.uint8)
+        symbol = np.where(letter, RARE, 0).astype(np.uint8)
         for i, point in enumerate(self.known, 1):
             symbol[point] = i
-        return symbol, letter
+        return symbol
+
+
+RARE = 255
 
 
 def code_points(text: str) -> np.ndarray:
@@ -120,14 +149,16 @@ _SYMBOLS: dict[tuple, np.ndarray] = {}
 
 
 class Model:
-    def __init__(self, samples: dict[str, list[str]]):
+    """Automata of up to ``PASS_LANGUAGES`` languages over one alphabet."""
+
+    def __init__(self, samples: dict[str, list[str]], known: list[int], languages: int):
         self.languages = sorted(samples)
-        self.alphabet = Alphabet([t for texts in samples.values() for t in texts])
+        self.alphabet = Alphabet(known)
         self.automata: list[Automaton] = []
         symbols = self.symbols()
-        share = MODEL_CHARS // max(1, len(samples))
+        share = symbols_of_each(languages)
         for language in self.languages:
-            text = np.concatenate([squeezed(t, symbols) for t in samples[language]] or [np.zeros(0, np.uint8)])
+            text = np.concatenate([self.squeezed(t, symbols) for t in samples[language]] or [np.zeros(0, np.uint8)])
             self.automata.append(Automaton(text[:share].tolist(), self.alphabet.width))
         self.chance = self.chance_length()
 
@@ -136,125 +167,133 @@ class Model:
         letters = len(self.alphabet.known)
         if not self.automata or not letters:
             return 0.0
-        random = np.random.Generator(np.random.PCG64(7)).integers(0, letters + 1, (BLOCK, 1), dtype=np.int32)
-        return BLOCK / min(int(a.phrases(list(random), 1)[0]) for a in self.automata)
+        random = np.random.Generator(np.random.PCG64(7)).integers(0, letters + 1, BLOCK, dtype=np.int32)
+        return BLOCK / min(int(a.phrases([random], np.zeros(1, int))[0]) + 1 for a in self.automata)
 
     def symbols(self) -> np.ndarray:
         """Made once per process; a model that is sent carries only its letters."""
         key = tuple(self.alphabet.known)
         if key not in _SYMBOLS:
-            _SYMBOLS[key] = self.alphabet.tables()[0]
+            _SYMBOLS[key] = self.alphabet.table()
         return _SYMBOLS[key]
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        return self.measured(texts)[:2]
+    def squeezed(self, text: str, symbols: np.ndarray) -> np.ndarray:
+        return squeezed(text, symbols, len(self.alphabet.known) + 1)
 
-    def measured(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
-        """Language and score of every text, and whether it is to be kept as text of a known language.
+    def parsed(self, texts: list[str | None]) -> list[tuple[str, int, int | None, int] | None]:
+        """Of every text the language with fewest phrases, their number, that of the next language, and all symbols.
 
-        A text without a letter is not. A long enough text is not either, if the predicted language takes it in
-        phrases hardly longer than chance and its score says that no language stands out. A model that has
-        learned no language knows nothing against a text with letters.
+        None for a text without a letter; the next language is None where the model has one language only.
         """
         symbols = self.symbols()
-        langs, scores, known = [UNDETERMINED] * len(texts), [0.0] * len(texts), [False] * len(texts)
+        results: list = [None] * len(texts)
         start = 0
         while start < len(texts):
             lanes: list[np.ndarray] = []
             owners: list[int] = []
             size, stop = 0, start
             while stop < len(texts) and size < LANES_CHARS:
-                found = squeezed(texts[stop] or "", symbols)
+                found = self.squeezed(texts[stop] or "", symbols)
                 if found.any():
-                    known[stop] = True
                     for at in range(0, len(found), BLOCK):
                         lanes.append(found[at : at + BLOCK])
                         owners.append(stop)
                     size += len(found)
                 stop += 1
             start = stop
-            if lanes and self.automata:
-                self._decide(lanes, np.array(owners), langs, scores, known)
-        return langs, scores, known
-
-    def _decide(self, lanes: list[np.ndarray], owners: np.ndarray, langs: list[str], scores: list[float], known: list[bool]) -> None:
-        sizes = np.array([len(x) for x in lanes])
-        order = np.argsort(-sizes, kind="stable")
-        longest = int(sizes.max())
-        # A column per step: symbols of all lanes that are so long, which are the first in this order.
-        lengths = sizes[order]
-        alive = np.searchsorted(-lengths, -np.arange(1, longest + 1), side="right")
-        flat = np.concatenate([lanes[i] for i in order])
-        begins = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        columns = [flat[begins[:n] + i].astype(np.int32) for i, n in enumerate(alive)]
-        first = np.unique(owners)
-        place = np.searchsorted(first, owners[order])
-        taken = np.stack(
-            [np.bincount(place, a.phrases(columns, len(lanes)), len(first)) for a in self.automata]
-        )
-        total = np.bincount(place, lengths, len(first))
+            if lanes:
+                self._decide(lanes, np.array(owners), results)
+        return results
+
+    def _decide(self, lanes: list[np.ndarray], owners: np.ndarray, results: list) -> None:
+        first, place = np.unique(owners, return_inverse=True)
+        total = np.bincount(place, [len(x) for x in lanes], len(first)).astype(np.int64)
+        if not self.automata:
+            for i, document in enumerate(first):
+                results[document] = (UNDETERMINED, 0, None, int(total[i]))
+            return
+        # The last phrase ends with its document.
+        taken = np.stack([np.bincount(place, a.phrases(lanes, owners), len(first)).astype(np.int64) + 1 for a in self.automata])
         best = taken.argmin(axis=0)
-        least = taken.min(axis=0)
-        rest = np.sort(taken, axis=0)[1] if len(taken) > 1 else total + 1
+        ordered = np.sort(taken, axis=0)
         for i, document in enumerate(first):
-            langs[document] = self.languages[best[i]]
-            # How much worse the next best language does: 0 for a tie, towards 1 for a clear case.
-            scores[document] = float(1 - least[i] / rest[i]) if rest[i] else 0.0
-            by_chance = total[i] <= self.chance * CHANCE_FACTOR * least[i]
-            known[document] = not (total[i] >= LEAST_SYMBOLS and by_chance and scores[document] < LEAST_SCORE)
+            after = int(ordered[1, i]) if len(taken) > 1 else None
+            results[document] = (self.languages[best[i]], int(ordered[0, i]), after, int(total[i]))
 
 
-def squeezed(text: str, symbols: np.ndarray) -> np.ndarray:
-    """Symbols of a text; anything between letters is one symbol zero, also at both ends."""
+def squeezed(text: str, symbols: np.ndarray, digit: int) -> np.ndarray:
+    """Symbols of a text; anything between letters is one symbol zero, also at both ends. ``digit`` is that of digit 0."""
     if not text:
         return np.zeros(0, np.uint8)
-    found = symbols[code_points(text.lower())]
-    found = np.concatenate((np.zeros(1, np.uint8), found, np.zeros(1, np.uint8)))
+    codes = np.concatenate((np.zeros(1, np.uint32), code_points(text.lower()), np.zeros(1, np.uint32)))
+    found = symbols[codes]
     keep = np.ones(len(found), bool)
     keep[1:] = (found[1:] != 0) | (found[:-1] != 0)
-    return found[keep]
-
-
-def fit(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", row_id: str = "doc_id") -> Model:
-    """Fit a model on a bounded sample of rows with a language and a text.
-
-    Of each language the ``SAMPLE_ROWS`` rows with the smallest hashes of their identifiers are taken, and of
-    each of these ``SAMPLE_ROW_CHARS`` characters; with ``MOST_LANGUAGES`` that bounds what the driver gets.
+    found = found[keep]
+    rare = np.flatnonzero(found == RARE)
+    if not len(rare):
+        return found
+    copies = np.ones(len(found), np.int64)
+    copies[rare] = DIGITS
+    at = (np.cumsum(copies) - copies)[rare]
+    spelled, codes = np.repeat(found, copies), codes[keep][rare]
+    for i in range(DIGITS):
+        spelled[at + i] = digit + codes // RADIX ** (DIGITS - 1 - i) % RADIX
+    return spelled
+
+
+def symbols_of_each(languages: int) -> int:
+    """Symbols of labelled text that each language's automaton holds."""
+    return MODEL_SYMBOLS // max(1, min(languages, PASS_LANGUAGES))
+
+
+def fit(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", row_id: str = "doc_id") -> list[Model]:
+    """Fit models on a bounded sample of rows with a language and a text, one for each ``PASS_LANGUAGES`` languages.
+
+    Of each language the rows with the smallest hashes of their identifiers are taken, ``SAMPLE_ROWS`` at most and
+    no more than fill its share of ``MODEL_SYMBOLS``, and of each of these ``SAMPLE_ROW_CHARS`` characters. What
+    the driver gets grows with the number of languages only, a pass at a time.
     """
-    labelled = rows.filter(F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
+    labelled = rows.filter(F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(
+        F.col(lang_col).alias("lang"),
+        F.col(row_id).alias("key"),
+        F.substring(text_col, 1, SAMPLE_ROW_CHARS).alias("text"),
+    )
     ranked = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "text")
-    sample = (
-        labelled.select(
-            F.col(lang_col).alias("lang"),
-            F.col(row_id).alias("key"),
-            F.substring(text_col, 1, SAMPLE_ROW_CHARS).alias("text"),
-        )
-        .withColumn("rank", F.row_number().over(ranked))
-        .filter(F.col("rank") <= SAMPLE_ROWS)
+    first, first_path = stored(
+        labelled.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= SAMPLE_ROWS), "labelled-sample"
     )
-    found = sample.orderBy("lang", "rank").limit(MOST_LANGUAGES * SAMPLE_ROWS + 1).select("lang", "text").collect()
-    samples: dict[str, list[str]] = {}
-    for row in found:
-        samples.setdefault(row["lang"], []).append(row["text"])
-    if len(samples) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    return Model(samples)
+    languages = sorted(r["lang"] for r in first.select("lang").distinct().collect())
+    share = symbols_of_each(len(languages))
+    before = F.coalesce(F.sum(F.length("text")).over(Window.partitionBy("lang").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    enough = first.withColumn("before", before).filter(F.col("before") < share)
+    letter = F.explode(F.split(F.lower("text"), ""))
+    frequent = enough.select(letter.alias("letter")).filter(F.col("letter").rlike(r"^\p{L}$")).groupBy("letter").count()
+    top = frequent.orderBy(F.desc("count"), "letter").limit(LETTERS).collect()
+    known = [ord(r["letter"]) for r in top if len(r["letter"]) == 1 and r["letter"].isalpha()]
+    models = []
+    for start in range(0, len(languages), PASS_LANGUAGES):
+        chosen = languages[start : start + PASS_LANGUAGES]
+        samples: dict[str, list[str]] = {language: [] for language in chosen}
+        for row in enough.filter(F.col("lang").isin(chosen)).orderBy("lang", "rank").select("lang", "text").collect():
+            samples[row["lang"]].append(row["text"])
+        models.append(Model(samples, known, len(languages)))
+    freed(rows.sparkSession, first_path)
+    return models or [Model({}, known, 0)]
+
+
+PARSED = pa.schema(
+    [("lang", pa.string()), ("least", pa.int64()), ("next", pa.int64()), ("symbols", pa.int64()), ("letters", pa.bool_())]
+)
 
 
 def predictor(sent):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = sent.value
         for batch in release(batches):
-            langs, scores, known = model.measured(batch["text"].to_pylist())
-            yield pa.record_batch(
-                {
-                    ROW: batch[ROW],
-                    "id": batch["id"],
-                    "lang_pred": pa.array(langs, pa.string()),
-                    "score": pa.array(scores, pa.float64()),
-                    "known": pa.array(known, pa.bool_()),
-                }
-            )
+            found = [(*(p or (UNDETERMINED, 0, None, 0)), p is not None) for p in model.parsed(batch["text"].to_pylist())]
+            arrays = [pa.array([row[i] for row in found], t) for i, t in enumerate(PARSED.types)]
+            yield pa.record_batch([batch[ROW], batch["id"], *arrays], names=[ROW, "id", *PARSED.names])
 
     return predict
 
@@ -264,24 +303,61 @@ def held_out(id_col: str) -> F.Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def predictions(rows: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Row key, ``id``, ``lang_pred``, ``score`` and ``known`` (see ``Model.measured``) of a numbered frame.
+def predictions(rows: DataFrame, models: list[Model], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Row key, ``id``, ``lang_pred``, ``score`` and ``known`` of a numbered frame.
 
     Nothing but the text decides. Texts that are null or have no letter are ``und`` with score 0, and so is
-    every text if the model knows no language.
+    every text if the models know no language; of languages with equally few phrases the first by name wins.
+    ``score`` is how much worse the next best language does, from 0 for a tie. ``known`` says that a text has
+    letters and is of a known language: it is not, if it has ``LEAST_SYMBOLS`` symbols or more, the predicted
+    language takes it in phrases hardly longer than chance, and its score is below ``LEAST_SCORE``. Models that have
+    learned no language know nothing against a text with letters.
     """
     spark = rows.sparkSession
     ship_package(spark)
     slim = rows.select(ROW, F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sent = spark.sparkContext.broadcast(model)  # a few tables of a size set by MODEL_CHARS
-    return slim.mapInArrow(predictor(sent), f"{ROW} long, id {dict(rows.dtypes)[id_col]}, lang_pred string, score double, known boolean")
+    schema = f"{ROW} long, id {dict(rows.dtypes)[id_col]}, lang string, least long, next long, symbols long, letters boolean"
+    found = None
+    for model in models:
+        sent = spark.sparkContext.broadcast(model)  # a few tables of a size set by MODEL_SYMBOLS
+        part = slim.mapInArrow(predictor(sent), schema)
+        if len(models) > 1:
+            part = saved(part, "language-pass")
+            sent.unpersist()
+        found = part if found is None else found.union(part)
+    if len(models) > 1:
+        merged = found.groupBy(ROW).agg(
+            F.first("id").alias("id"),
+            F.max("symbols").alias("symbols"),
+            F.first("letters").alias("letters"),
+            F.array_sort(F.collect_list(F.struct("least", "lang", "next"))).alias("by"),
+        )
+        best = F.col("by")[0]
+        found = merged.select(
+            ROW,
+            "id",
+            "symbols",
+            "letters",
+            best["lang"].alias("lang"),
+            best["least"].alias("least"),
+            F.least(best["next"], F.col("by")[1]["least"]).alias("next"),
+        )
+    after = F.coalesce("next", F.col("symbols") + 1)
+    score = F.when(F.col("letters") & (F.col("least") > 0), 1 - F.col("least") / after).otherwise(0.0)
+    chance = max(model.chance for model in models)
+    by_chance = F.col("symbols") <= F.lit(chance * CHANCE_FACTOR) * F.col("least")
+    learned = F.lit(any(model.languages for model in models))
+    unknown = learned & (F.col("symbols") >= LEAST_SYMBOLS) & by_chance & (F.col("score") < LEAST_SCORE)
+    return found.withColumn("score", score).select(
+        ROW, "id", F.col("lang").alias("lang_pred"), "score", (F.col("letters") & ~unknown).alias("known")
+    )
 
 
 def identify(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``doc_id``, ``held_out``, ``lang_pred``, ``score``, with a model of the rows that are not held out."""
-    numbered = with_row_key(rows)
-    model = fit(rows.filter(~held_out(id_col)), lang_col, text_col, id_col)
-    return predictions(numbered, model, id_col, text_col).select(
+    """``doc_id``, ``held_out``, ``lang_pred``, ``score``, with models of the rows that are not held out."""
+    models = fit(rows.filter(~held_out(id_col)), lang_col, text_col, id_col)
+    numbered = with_row_key(rows) if len(models) == 1 else numbered_once(rows.select(id_col, text_col))
+    return predictions(numbered, models, id_col, text_col).select(
         F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "lang_pred", "score"
     )
 
@@ -294,10 +370,10 @@ def drop_other_languages(rows: DataFrame, id_col: str = "doc_id", text_col: str
     mixed languages stay. If no row teaches a language, only the former go, with a warning.
     """
     numbered = numbered_once(rows)
-    model = fit(rows.filter(~held_out(id_col)), lang_col, text_col, id_col)
-    if not model.languages:
+    models = fit(rows.filter(~held_out(id_col)), lang_col, text_col, id_col)
+    if not models[0].languages:
         warnings.warn("no language was learned: every text with a letter is kept", stacklevel=2)
-    found = predictions(numbered, model, id_col, text_col)
+    found = predictions(numbered, models, id_col, text_col)
     return drop_rows(numbered, saved(found.filter(~F.col("known")).select(ROW), "no-language"))
 
 
