@@ -257,6 +257,11 @@ def searcher(windows):
 HITS_DDL = f"{ROW} long, id long, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
 
 
+def passes_over(benchmark: DataFrame, text_col: str, pass_bytes: int) -> int:
+    size = benchmark.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return max(1, -(-size // pass_bytes))
+
+
 def benchmark_hits(
     rows: DataFrame,
     benchmark: DataFrame,
@@ -278,8 +283,7 @@ def benchmark_hits(
     ship_package(spark)
     slim = rows.select(ROW, F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     bench = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text"))
-    size = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    passes = max(1, -(-size // pass_bytes))
+    passes = passes_over(bench, "text", pass_bytes)
     bench = bench.withColumn("pass", F.pmod(F.xxhash64("text"), F.lit(passes)))
     found = None
     for i in range(passes):
@@ -308,9 +312,16 @@ def remerge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch[ROW], batch["id"], batch["n_words"], column, batch["items"]], schema=HITS)
 
 
-def contamination(rows: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``doc_id``, ``n_words``, ``n_hit``, ``n_items``, ``items_sha256``, ``contaminated`` and the spans, per row."""
-    hits = benchmark_hits(with_row_key(rows), benchmark, **options)
+def contamination(
+    rows: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", pass_bytes: int = PASS_BYTES, **options
+) -> DataFrame:
+    """``doc_id``, ``n_words``, ``n_hit``, ``n_items``, ``items_sha256``, ``contaminated`` and the spans, per row.
+
+    With several passes the rows are numbered once, as each pass is a job of its own.
+    """
+    several = passes_over(benchmark, options.get("item_text_col", "text"), pass_bytes) > 1
+    numbered = numbered_once(rows.select(id_col, text_col)) if several else with_row_key(rows)
+    hits = benchmark_hits(numbered, benchmark, id_col, text_col, pass_bytes=pass_bytes, **options)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return hits.select(
         F.col("id").alias("doc_id"),
