@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from keyedflow.llm.common import release, scratch_path, ship_package
+from keyedflow.llm.common import ROW, release, scratch_path, ship_package, with_row_key
 from keyedflow.llm.tokens import encoder, groups_of
 
 END = 0
@@ -65,14 +65,15 @@ def write_tokens(
 ) -> None:
     """Encode every text and write the files.
 
-    Null texts are empty; rows with a null identifier come first; equal identifiers stay next to each other.
+    Null texts are empty; rows with a null identifier come first; equal identifiers stay next to each other, though
+    very many of one, or without one, are dealt over several files.
     Each row also holds its file's number and how many ids of that file come before it.
     """
     if encoding not in ("dictionary", "delta"):
         raise ValueError("encoding is 'dictionary' or 'delta'")
     ship_package(rows.sparkSession)
     slim = rows.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    ordered = slim.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    ordered = with_row_key(slim).repartitionByRange("doc_id", ROW).sortWithinPartitions("doc_id").drop(ROW)
     (
         ordered.mapInArrow(tokenizer_task(tokenizer_path, end), FILE_SCHEMA)
         .write.option("parquet.enable.dictionary", str(encoding == "dictionary").lower())
