@@ -155,7 +155,49 @@ def test_phrases_are_the_greedy_longest_matches():
                 phrases, at = phrases + 1, i
         # A first symbol that the text does not hold counts as a step from nothing, once more than a phrase.
         extra = int(lane[0] == 4)
-        assert automaton.phrases([np.array([s], np.int32) for s in lane], 1)[0] == phrases + extra
+        assert automaton.phrases([lane], np.zeros(1, int))[0] + 1 == phrases + extra
+        # Blocks of a text are parsed as the text is.
+        blocks = [lane[i : i + 7] for i in range(0, 60, 7)]
+        assert automaton.phrases(blocks, np.zeros(len(blocks), int)).sum() + 1 == phrases + extra
+
+
+SCRIPTS = {"zh": "我们今天去学校学习中文", "ja": "わたしはきょうがっこうへいきます", "ko": "나는오늘학교에갑니다", "ru": "мысегодняидемвшколу", "ar": "نذهباليومإلىالمدرسة"}
+
+
+def speech(scripts, per_language, seed=4):
+    """Rows of random words over each script's letters; one word in ten is of another language."""
+    rnd = random.Random(seed)
+    words = {lang: ["".join(rnd.choice(letters) for _ in range(rnd.randint(2, 4))) for _ in range(30)] for lang, letters in scripts.items()}
+    names, rows = sorted(scripts), []
+    for lang in names:
+        for _ in range(per_language):
+            text = " ".join(rnd.choice(words[lang if rnd.random() < 0.9 else rnd.choice(names)]) for _ in range(40))
+            rows.append((len(rows), text, lang, "s", 1, 1, "k", None))
+    return rows
+
+
+def accuracy(frame):
+    truth = {r["doc_id"]: r["lang"] for r in frame.collect()}
+    held = [r for r in language.identify(frame).collect() if r["held_out"]]
+    return np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in held])
+
+
+def test_scripts_with_many_letters_are_told_apart(spark, tmp_path):
+    assert accuracy(stored(spark, tmp_path, speech(SCRIPTS, 40), SCHEMA)) > 0.98
+
+
+def test_languages_beyond_one_pass(spark, tmp_path, monkeypatch):
+    latin = {f"l{i:02}": "abcdefghijklmnoprstuvyz"[i % 12 : i % 12 + 11] for i in range(50)}
+    frame = stored(spark, tmp_path, speech(latin, 12), SCHEMA)
+    monkeypatch.setattr(language, "MODEL_SYMBOLS", 60_000)
+    several = accuracy(frame)
+    assert several > 0.95
+    key = lambda: sorted(map(tuple, language.identify(frame).collect()))
+    monkeypatch.setattr(language, "symbols_of_each", lambda n: 1_500)
+    monkeypatch.setattr(language, "PASS_LANGUAGES", 50)
+    once = key()
+    monkeypatch.setattr(language, "PASS_LANGUAGES", 20)
+    assert key() == once
 
 
 PATTERNS = {
@@ -228,6 +270,12 @@ PAGES = [
     ("<article><p>a</article><section id='comments'><article class='comment'>no</article></section>", "a"),
     ("<div class=ad>ad</div><div id=cookie-notice>c</div><div>plain <i>t</i>ext</div>", "plain text"),
     ("<!-- <p>no</p> --><p>a &lt;b&gt; &amp;amp; &#x41;</p><style>p{}</style>", "a <b> &amp; A"),
+    ('<div class="no-sidebar"><article><p>one</p></article></div>', "one"),
+    ('<div id="page" class="has-header"><article>two</article></div><p>out</p>', "two"),
+    ('<article class="with-comments"><p>three</p><div class="comments"><article>c</article></div></article>', "three"),
+    ("<div>" * 210 + "<nav>menu</nav><p>text", "text"),
+    ('<form id="all"><div class="widget"><article>long enough to be the text</article></div><div>x</div></form>', "long enough to be the text"),
+    ('<div class="plain"><p>the long text of a page</p></div><div class="comments"><article>nice</article></div>', "the long text of a page"),
     ("no markup  at\n all", "no markup at all"),
     ("<p>open <b>and <i>cut", "open and cut"),
     ("a < b <3 <> </> <p class=\"x", "a < b <3 <>"),
@@ -258,9 +306,22 @@ def test_site_style_tree_removes_what_all_pages_share(spark, tmp_path):
     texts = {r["page_id"]: r["text"] for r in got.collect()}
     assert all(texts[i] == f"story number {i} of its own" for i in range(40))
     assert all(texts[100 + i] == "one page many times" for i in range(40))
+    # Alone on its host, but known from the other pages with that node; all of a page never goes.
     assert texts[200] == "Welcome to our site"
 
 
+def test_repeated_notices_inside_articles_go(spark, tmp_path):
+    rows = []
+    for i in range(30):
+        own = f"<p>text {i} of its own</p><p>Read it on paper</p><ul><li>item {i}</li><li>Tell a friend</li></ul>"
+        rows.append((i, "http://one.example/a", f"<article><h1>title {i}</h1>{own}</article>", None))
+        # Each host has a page, so that only all hosts together show what repeats.
+        rows.append((100 + i, f"http://h{i}.example/a", f"<main><h1>title {i}</h1>{own}</main>", None))
+    got = html_text.main_text(stored(spark, tmp_path, rows, "page_id long, url string, html string, text string"))
+    texts = {r["page_id"]: r["text"] for r in got.collect()}
+    assert all(texts[k + i] == f"title {i} text {i} of its own item {i}" for i in range(30) for k in (0, 100))
+
+
 @pytest.mark.parametrize("junk", ["<", "<a ", "<div>", "<!--", "&", "<p><b>", "<a '", "<script>", "</", '<a b="x'])
 def test_hostile_pages_take_linear_time(junk):
     began = time.process_time()

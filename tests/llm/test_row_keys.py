@@ -21,6 +21,9 @@ OPERATORS = {
     "language": lambda rows, spark: language.drop_other_languages(rows),
     "exact": lambda rows, spark: exact.drop_exact_duplicates(rows, keep="largest"),
     "simhash": lambda rows, spark: simhash.drop_near_duplicates(rows),
+    "contamination": lambda rows, spark: decontaminate.contamination(
+        rows, spark.createDataFrame([*BENCH, (2, "other words that are never there")], "item_id long, text string"), pass_bytes=30
+    ),
     "contaminated": lambda rows, spark: decontaminate.drop_contaminated(rows, spark.createDataFrame(BENCH, "item_id long, text string")),
 }
 
@@ -43,8 +46,15 @@ def test_splits_may_change_between_jobs(spark, corpus, monkeypatch, name):
         deal()
         return found
 
+    def stored(frame, label, store=common.stored):
+        found = store(frame, label)
+        deal()
+        return found
+
     for module in (decontaminate, exact, html_text, language, repeats, simhash):
-        monkeypatch.setattr(module, "saved", saved)
+        for name_of, changed in (("saved", saved), ("stored", stored)):
+            if hasattr(module, name_of):
+                monkeypatch.setattr(module, name_of, changed)
     try:
         deal()
         found = OPERATORS[name](rows, spark)
