@@ -2,10 +2,12 @@
 
 Every string of ``length`` bytes is named by an anchor: the short gram of smallest hash in it. Equal strings
 have equal anchors, so documents meet in buckets of anchors, and only anchors of two or more documents go on.
-Neighbouring strings with one anchor are one fragment. Where all fragments of an anchor are alike, the earliest
-document holds the original. Where they differ, their texts are fetched, stripped of what no other fragment
-has, and put in order by a suffix array (linear grouping); equal strings are then neighbours, and each class
-of them belongs to its earliest document. Copies of whole texts count once, before anything is exchanged.
+Neighbouring strings with one anchor are one fragment. A fragment that a smaller identifier has as well goes
+whole; each task settles that among its own texts first, so that a passage of very many documents sends one
+entry a task, not one a document. Of what is left, fragments of one anchor that differ are fetched, stripped of
+what no other fragment has, and put in order by a suffix array (linear grouping); equal strings are then
+neighbours, and each class of them belongs to its earliest document. Copies of whole texts count once, before
+anything is exchanged.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyedflow.llm.common import ROW, numbered_once, saved, ship_package, text_of
+from keyedflow.llm.common import ROW, freed, ship_package, stored, text_of, with_row_key
 from keyedflow.llm.suffix import suffix_array
 
 LENGTH, GRAM = 50, 16
@@ -26,8 +28,8 @@ LENGTH, GRAM = 50, 16
 HASH_BYTES, STRETCH = 1 << 17, 1 << 23
 #: Anchors that a task holds before it sends them on.
 HELD_ANCHORS = 1 << 20
-#: Buckets of anchors for each shuffle partition.
-BUCKETS_PER_PARTITION = 2
+#: Bytes of text whose anchors share a bucket, which one task holds at a time, and fewest buckets a shuffle partition.
+BUCKET_BYTES, BUCKETS_PER_PARTITION = 8 << 20, 2
 #: Bytes of text in one suffix array; fragments that share a string are never in two.
 BLOCK_BYTES = 1 << 17
 #: Stands for the identifier of rows without one, which counts as larger than all.
@@ -108,16 +110,20 @@ def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple
 ENTRY = ("gram", "<u4"), ("fragment", "<u8"), ("id", "<i8"), ("row", "<i8"), ("start", "<i8"), ("count", "u1")
 
 
-def pack_columns(columns: dict[str, np.ndarray]) -> bytes:
+#: Ranges of string starts that a task knows to be repeats.
+RANGE = ("row", "<i8"), ("start", "<i8"), ("stop", "<i8")
+
+
+def pack_columns(columns: dict[str, np.ndarray], layout: tuple = ENTRY) -> bytes:
     """Columns byte by byte, so that bytes which hardly change stand together and compress."""
-    planes = [np.ascontiguousarray(columns[n].astype(t).reshape(-1, 1).view(np.uint8).T) for n, t in ENTRY]
+    planes = [np.ascontiguousarray(columns[n].astype(t).reshape(-1, 1).view(np.uint8).T) for n, t in layout]
     return b"".join(p.tobytes() for p in planes)
 
 
-def unpack_columns(data: bytes) -> dict[str, np.ndarray]:
-    width = sum(np.dtype(t).itemsize for _, t in ENTRY)
+def unpack_columns(data: bytes, layout: tuple = ENTRY) -> dict[str, np.ndarray]:
+    width = sum(np.dtype(t).itemsize for _, t in layout)
     n, at, found = len(data) // width, 0, {}
-    for name, kind in ENTRY:
+    for name, kind in layout:
         item = np.dtype(kind).itemsize
         plane = np.frombuffer(data, np.uint8, n * item, at).reshape(item, n)
         found[name] = np.ascontiguousarray(plane.T).view(kind).ravel()
@@ -125,6 +131,34 @@ def unpack_columns(data: bytes) -> dict[str, np.ndarray]:
     return found
 
 
+SENT = pa.schema([("bucket", pa.int64()), ("entries", pa.binary()), ("ranges", pa.binary())])
+
+
+def starts_of(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of equal values begins in sorted columns."""
+    if not len(columns[0]):
+        return np.zeros(0, np.int64)
+    change = np.ones(len(columns[0]), bool)
+    change[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(change)
+
+
+def after_first(ids: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    """Whether an identifier is larger than the first of its run, runs being in order of identifiers."""
+    return ids > np.repeat(ids[runs], np.diff(np.append(runs, len(ids))))
+
+
+def merged_ranges(row: np.ndarray, start: np.ndarray, stop: np.ndarray) -> dict[str, np.ndarray]:
+    """Ranges in order of rows, those that meet as one. Ranges of a row don't overlap."""
+    order = np.lexsort((start, row))
+    row, start, stop = row[order], start[order], stop[order]
+    fresh = np.ones(len(row), bool)
+    fresh[1:] = (row[1:] != row[:-1]) | (start[1:] != stop[:-1])
+    first = np.flatnonzero(fresh)
+    last = np.append(first[1:], len(row))[: len(first)] - 1
+    return {"row": row[first], "start": start[first], "stop": stop[last]}
+
+
 class AnchorTask:
     """Anchors of a task's texts, each distinct text once, sent on by bucket."""
 
@@ -164,17 +198,24 @@ class AnchorTask:
 
     def flush(self) -> pa.RecordBatch:
         if not self.columns:
-            return pa.record_batch({"bucket": pa.array([], pa.int64()), "entries": pa.array([], pa.binary())})
+            return pa.record_batch([pa.array([], t) for t in SENT.types], schema=SENT)
         columns = {n: np.concatenate([c[n] for c in self.columns]) for n in self.columns[0]}
         self.columns, self.held = [], 0
-        bucket = columns["hash"] % np.uint64(self.buckets)
+        columns["bucket"] = (columns["hash"] % np.uint64(self.buckets)).astype(np.int64)
         columns["gram"] = columns.pop("hash") >> np.uint64(32)
-        order = np.argsort(bucket, kind="stable")
-        columns, bucket = {n: c[order] for n, c in columns.items()}, bucket[order]
-        cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+        order = np.lexsort((columns["id"], columns["fragment"], columns["gram"], columns["bucket"]))
+        columns = {n: c[order] for n, c in columns.items()}
+        later = after_first(columns["id"], starts_of(columns["bucket"], columns["gram"], columns["fragment"]))
+        gone = merged_ranges(columns["row"][later], columns["start"][later], (columns["start"] + columns["count"])[later])
+        columns = {n: c[~later] for n, c in columns.items()}
+        bucket = columns.pop("bucket")
+        cuts = starts_of(bucket)
         ends = np.append(cuts[1:], len(bucket))
         blobs = [pack_columns({n: c[s:e] for n, c in columns.items()}) for s, e in zip(cuts, ends, strict=True)]
-        return pa.record_batch({"bucket": pa.array(bucket[cuts].astype(np.int64)), "entries": pa.array(blobs, pa.binary())})
+        # The settled ranges travel with the entries, in equal shares.
+        shares = np.linspace(0, len(gone["row"]), len(blobs) + 1).astype(np.int64)
+        ranges = [pack_columns({n: c[s:e] for n, c in gone.items()}, RANGE) for s, e in zip(shares, shares[1:], strict=False)]
+        return pa.record_batch([pa.array(bucket[cuts], pa.int64()), pa.array(blobs, pa.binary()), pa.array(ranges, pa.binary())], schema=SENT)
 
 
 def anchor_maker(buckets: int, length: int):
@@ -204,18 +245,11 @@ def shared_table(kind: int, bucket: int, **columns: np.ndarray) -> pa.Table:
     return pa.table(found)
 
 
-def starts_of(*columns: np.ndarray) -> np.ndarray:
-    """Where a run of equal values begins in sorted columns."""
-    if not len(columns[0]):
-        return np.zeros(0, np.int64)
-    change = np.ones(len(columns[0]), bool)
-    change[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
-    return np.flatnonzero(change)
-
-
 def share(key: tuple, blobs: pa.Table) -> pa.Table:
     """What the documents of a bucket have in common."""
     bucket = key[0].as_py()
+    settled = [unpack_columns(b.as_py(), RANGE) for b in blobs["ranges"]]
+    settled = {n: np.concatenate([p[n] for p in settled]) for n, _ in RANGE}
     parts = [unpack_columns(b.as_py()) for b in blobs["entries"]]
     c = {n: np.concatenate([p[n] for p in parts]) for n, _ in ENTRY}
     order = np.lexsort((c["row"], c["id"], c["fragment"], c["gram"]))
@@ -225,27 +259,21 @@ def share(key: tuple, blobs: pa.Table) -> pa.Table:
     shared = np.minimum.reduceat(c["id"], groups) != np.maximum.reduceat(c["id"], groups)
     keep = np.repeat(shared, sizes)
     c = {n: v[keep] for n, v in c.items()}
-    if not len(c["gram"]):
-        return shared_table(0, bucket, row=np.zeros(0, np.int64))
+    stop = c["start"] + c["count"]
+    # A fragment that a smaller identifier has goes whole, whatever else the anchor has.
+    fragments = starts_of(c["gram"], c["fragment"])
+    later = after_first(c["id"], fragments)
+    ranges = {n: np.concatenate((settled[n], v[later])) for n, v in (("row", c["row"]), ("start", c["start"]), ("stop", stop))}
+    gone = shared_table(0, bucket, **merged_ranges(**ranges))
     groups = starts_of(c["gram"])
     sizes = np.diff(np.append(groups, len(c["gram"])))
-    fragments = starts_of(c["gram"], c["fragment"])
     anchor = np.repeat(np.arange(len(groups)), sizes)
     number = np.repeat(np.arange(len(fragments)), np.diff(np.append(fragments, len(anchor))))
-    alike = np.repeat(number[groups] == number[np.append(groups[1:], len(anchor)) - 1], sizes)
-    stop = c["start"] + c["count"]
-    # Entries are in order of identifiers within a fragment; those after the earliest are repeats.
-    repeat = alike & (c["id"] > np.repeat(c["id"][groups], sizes))
-    rest = np.flatnonzero(~alike)
+    alike = np.repeat(number[groups] == number[np.append(groups[1:], len(anchor))[: len(groups)] - 1], sizes)
+    rest = np.flatnonzero(~alike & ~later)
     first = fragments[~alike[fragments]]
     entry = lambda i: {"anchor": anchor[i], "fragment": number[i], "id": c["id"][i], "row": c["row"][i], "start": c["start"][i], "stop": stop[i]}
-    return pa.concat_tables(
-        [
-            shared_table(0, bucket, row=c["row"][repeat], start=c["start"][repeat], stop=stop[repeat]),
-            shared_table(1, bucket, **entry(rest)),
-            shared_table(2, bucket, **entry(first)),
-        ]
-    )
+    return pa.concat_tables([gone, shared_table(1, bucket, **entry(rest)), shared_table(2, bucket, **entry(first))])
 
 
 def string_classes(pieces: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -457,8 +485,8 @@ def repeated_passages(
     spark = rows.sparkSession
     ship_package(spark)
     slim = rows.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).cast("binary").alias("text"))
-    numbered = numbered_once(slim)
-    keyed = saved(
+    numbered, numbered_path = stored(with_row_key(slim), "numbered-rows")
+    keyed, keyed_path = stored(
         numbered.select(ROW, "id", F.sha2("text", 256).alias("digest"), F.octet_length("text").cast("long").alias("n_bytes")),
         "text-digests",
     )
@@ -473,14 +501,16 @@ def repeated_passages(
         # A copy of an earlier text goes whole, if it is long enough to hold a string.
         (F.col("first.id").isNotNull() & (F.col("id").isNull() | (F.col("id") > F.col("first.id"))) & (F.col("n_bytes") >= length)).alias("copy"),
     )
-    state = saved(state, "text-states")
+    state, _ = stored(state, "text-states")
+    freed(spark, keyed_path)
 
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = partitions * BUCKETS_PER_PARTITION
+    size = state.filter(~F.col("copy")).agg(F.sum("n_bytes")).first()[0] or 0
+    buckets = max(partitions * BUCKETS_PER_PARTITION, -(-size // BUCKET_BYTES))
     blobs = numbered.sortWithinPartitions(F.col("id").asc_nulls_last(), ROW).mapInArrow(
-        anchor_maker(buckets, length), "bucket long, entries binary"
+        anchor_maker(buckets, length), "bucket long, entries binary, ranges binary"
     )
-    shared = saved(blobs.groupBy("bucket").applyInArrow(share, SHARED), "shared-anchors")
+    shared, shared_path = stored(blobs.groupBy("bucket").applyInArrow(share, SHARED), "shared-anchors")
     alike = shared.filter("kind = 0").select(F.col("row").alias(ROW), "start", "stop")
     wanted = shared.filter("kind = 2").select(
         F.col("row").alias(ROW),
@@ -497,15 +527,17 @@ def repeated_passages(
         "of_fragment",
         F.substring("text", F.col("start").cast("int") + 1, (F.col("stop") - F.col("start")).cast("int") + length - 1).alias("content"),
     )
-    differing = (
+    differing, differing_path = stored(
         shared.filter("kind = 1")
         .select("bucket", "fragment", "id", "row", "start")
         .groupBy("bucket")
         .cogroup(contents.groupBy("of_bucket"))
-        .applyInArrow(resolver(length), REMOVED)
+        .applyInArrow(resolver(length), REMOVED),
+        "differing-fragments",
     )
     ranges = alike.union(differing).groupBy(ROW).agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
-    cleaned = saved(texts.join(ranges, ROW).mapInArrow(cleaner(length), CLEANED), "cleaned-texts")
+    cleaned, _ = stored(texts.join(ranges, ROW).mapInArrow(cleaner(length), CLEANED), "cleaned-texts")
+    freed(spark, numbered_path, shared_path, differing_path)
     found = state.join(cleaned.withColumnRenamed(ROW, "first_row"), "first_row", "left")
     none = F.lit(hashlib.sha256(b"").hexdigest())
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("stop")))
