@@ -19,7 +19,7 @@ from urllib.parse import urlsplit
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyedflow.llm.common import ROW, freed, ship_package, stored, with_row_key
@@ -97,6 +97,17 @@ class Element:
         self.begin = begin
 
 
+class Node:
+    """An element that other pages can judge."""
+
+    __slots__ = ("around", "path", "box", "content", "style", "children")
+
+    def __init__(self, around: int, path: int, box: bool):
+        self.around, self.path, self.box = around, path, box
+        self.content: int | None = None
+        self.style = self.children = 0
+
+
 class Page:
     """Blocks of text in page order, and the nodes that can be judged by other pages."""
 
@@ -105,10 +116,9 @@ class Page:
         self.open: Counter[str] = Counter()
         #: Text, how suspect it is on the whole, in its article, in its main element (None: in none), innermost node.
         self.blocks: list[tuple[str, int, int | None, int | None, int]] = []
-        #: Of each node: the node around it, its path, and the hash of the text inside once it is closed.
-        self.nodes: list[list[int]] = []
-        #: Path, hash of the text inside, hash of the children's names, number of children, whether it is a box.
-        self.boxes: list[tuple[int, int, int, int, bool]] = []
+        #: Of each node: the node around it, its path, whether it is a box and, once it is closed, hashes of the
+        #: text inside (none: no text) and of the children's names, and the number of children.
+        self.nodes: list[Node] = []
         self.text: list[str] = []
         #: Hashes of the first n blocks, and powers, from which the hash of any run of blocks follows.
         self.sums, self.powers = [0], [1]
@@ -154,7 +164,7 @@ class Page:
             path = path_below(top.path, label)
             top.children.append(label)
             if (tag in BOXES or tag in CONTENTS) and not silent:
-                self.nodes.append([node, path, 0])
+                self.nodes.append(Node(node, path, tag in BOXES))
                 node = len(self.nodes) - 1
         in_article, in_main = (
             CLEAN if inside is None and begins else inside if inside is None else max(inside, suspect)
@@ -182,12 +192,10 @@ class Page:
                 self.flush()
             self.stack.pop()
             self.open[top.tag] -= 1
-            box = top.tag in BOXES
-            if (box or top.tag in CONTENTS) and not top.silent and len(self.blocks) > top.begin:
-                n = len(self.blocks) - top.begin
-                content = (self.sums[-1] - self.sums[top.begin] * self.powers[n]) % MODULUS
-                self.nodes[top.node][2] = content
-                self.boxes.append((top.path, content, hash_of("|".join(top.children)), len(top.children), box))
+            if (top.tag in BOXES or top.tag in CONTENTS) and not top.silent and len(self.blocks) > top.begin:
+                node, n = self.nodes[top.node], len(self.blocks) - top.begin
+                node.content = (self.sums[-1] - self.sums[top.begin] * self.powers[n]) % MODULUS
+                node.style, node.children = hash_of("|".join(top.children)), len(top.children)
 
     def end(self, tag: str) -> None:
         if tag not in INLINE:
@@ -269,26 +277,11 @@ class Page:
                 return found
         return clean or [b for b in self.blocks if b[1] == BY_NAME]
 
-    def main_text(self, removed: set[int]) -> str:
-        """The region without removed branches and contents; all of it if nothing would be left."""
-        region = self.region()
-        if removed:
-            gone: list[bool] = []
-            for around, path, content in self.nodes:
-                gone.append((around >= 0 and gone[around]) or path in removed or content_key(path, content) in removed)
-            kept = [b for b in region if b[4] < 0 or not gone[b[4]]]
-            region = kept or region
-        return " ".join(b[0] for b in region)
-
 
 #: Hashes of runs of blocks are taken modulo a prime.
 MODULUS, FACTOR = (1 << 61) - 1, 0x1F3D5B79A2C4E687 % ((1 << 61) - 1)
 
 
-def content_key(path: int, content: int) -> int:
-    return hash_of(f"{path}={content}")
-
-
 def hash_of(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
@@ -304,87 +297,165 @@ def host_of(url: str | None) -> str:
         return ""
 
 
-BOX_ROWS = f"{ROW} long, host string, path long, content long, style long, children long, box boolean, page long, key long"
+#: What a node's entry says of its page: the first of these values there, of its path and content, of its path.
+NEW_ENTRY, NEW_CONTENT, NEW_PATH = 1, 2, 4
+
+#: Of each node with text: the node around it, its path, hashes, number of children, whether it is a box, and marks.
+NODE = {
+    "around": pa.int32(),
+    "path": pa.int64(),
+    "content": pa.int64(),
+    "style": pa.int64(),
+    "children": pa.int32(),
+    "box": pa.bool_(),
+    "marks": pa.int32(),
+}
+PARSED = (
+    f"{ROW} long, page_id {{id}}, url string, host string, page long, texts array<string>, at array<int>, around array<int>, "
+    "path array<long>, content array<long>, style array<long>, children array<int>, box array<boolean>, marks array<int>"
+)
 
 
-def boxes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def entries(page: Page) -> tuple[list[tuple], list[tuple[str, int]]]:
+    """Nodes with text, as in ``NODE``, and the texts of the region, each with its innermost node (-1: none)."""
+    number, rows, seen = {-1: -1}, [], set()
+    for i, node in enumerate(page.nodes):
+        if node.content is None:
+            continue
+        number[i] = len(rows)
+        marks = 0
+        for mark, value in (
+            (NEW_ENTRY, (node.path, node.content, node.style, node.children)),
+            (NEW_CONTENT, (node.path, node.content)),
+            (NEW_PATH, (node.path,)),
+        ):
+            if value not in seen:
+                seen.add(value)
+                marks |= mark
+        rows.append((number[node.around], node.path, node.content, node.style, node.children, node.box, marks))
+    return rows, [(b[0], number[b[4]]) for b in page.region()]
+
+
+def parser(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each page once: the texts of its region and its nodes."""
     for batch in batches:
-        columns: list[list] = [[] for _ in range(9)]
-        for row, url, html in zip(batch[ROW].to_pylist(), batch["url"], batch["html"], strict=True):
-            html = html.as_py()
-            page = parse(html)
-            if not page.boxes:
-                continue
-            host, whole = host_of(url.as_py()), hash_of(html or "")
-            for path, content, style, children, box in dict.fromkeys(page.boxes):
-                values = (row, host, path, content, style, children, box, whole, content_key(path, content))
-                for column, value in zip(columns, values, strict=True):
-                    column.append(value)
-        types = (pa.int64(), pa.string(), *[pa.int64()] * 4, pa.bool_(), pa.int64(), pa.int64())
+        hosts, hashes, texts, places = [], [], [], []
+        nodes: dict[str, list[list]] = {name: [] for name in NODE}
+        for url, html in zip(batch["url"], batch["html"], strict=True):
+            html = html.as_py() or ""
+            rows, blocks = entries(parse(html))
+            hosts.append(host_of(url.as_py()))
+            hashes.append(hash_of(html))
+            texts.append([t for t, _ in blocks])
+            places.append([i for _, i in blocks])
+            for column, values in zip(nodes.values(), zip(*rows, strict=True) if rows else [()] * len(NODE), strict=True):
+                column.append(list(values))
         yield pa.record_batch(
-            [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-            names=[ROW, "host", "path", "content", "style", "children", "box", "page", "key"],
+            {
+                ROW: batch[ROW],
+                "page_id": batch["page_id"],
+                "url": batch["url"],
+                "host": pa.array(hosts, pa.string()),
+                "page": pa.array(hashes, pa.int64()),
+                "texts": pa.array(texts, pa.list_(pa.string())),
+                "at": pa.array(places, pa.list_(pa.int32())),
+                **{name: pa.array(nodes[name], pa.list_(kind)) for name, kind in NODE.items()},
+            }
         )
 
 
-def entropy(seen: DataFrame, value: str) -> DataFrame:
-    """Entropy of a column over the distinct pages of a node, to the base of their number; 1 for one page."""
-    counts = seen.groupBy("host", "path", value).agg(F.count(F.lit(1)).alias("n"))
-    sums = counts.groupBy("host", "path").agg(F.sum("n").alias("seen"), F.sum(F.col("n") * F.log("n")).alias("weighted"))
-    value_of = (F.log("seen") - F.col("weighted") / F.col("seen")) / F.log("seen")
-    return sums.select("host", "path", F.when(F.col("seen") > 1, value_of).otherwise(1.0).alias(value))
+def exploded(pages: DataFrame, *columns: str) -> DataFrame:
+    """A row per node with its number on the page; of the parsed table only the columns named are read."""
+    nodes = F.arrays_zip(*[F.col(c) for c in columns])
+    return pages.select(ROW, "host", F.posexplode(nodes).alias("node", "of")).select(ROW, "host", "node", "of.*")
+
 
+def unlike(pages: DataFrame, *by: str) -> DataFrame:
+    """Row keys of the pages with the smallest key of those that are equal in ``by``."""
+    return pages.groupBy(*by).agg(F.min(ROW).alias(ROW)).select(ROW)
 
-def distinct_pages(seen: DataFrame) -> DataFrame:
-    return seen.groupBy("host", "path", "page").agg(F.lit(1).alias("one")).groupBy("host", "path").agg(F.count(F.lit(1)).alias("pages"))
 
+def marked(mark: int) -> Column:
+    """How many rows carry the mark."""
+    return F.sum((F.col("marks").bitwiseAND(mark) != 0).cast("long"))
 
-def importance(seen: DataFrame) -> DataFrame:
-    """``host``, ``path``, ``pages``, ``importance`` of the style tree's nodes that are boxes.
 
-    Copies of a page count once, or a site of copies would look like nothing but boilerplate. Counts are
-    summed per content before they are summed per node, so a host with very many pages is no single group.
+def entropy_of(n: str) -> Column:
+    """Entropy of groups that have ``n`` rows each, to the base of their sum; 1 for a single row."""
+    total = F.sum(n)
+    value = (F.log(total) - F.sum(F.col(n) * F.log(n)) / total) / F.log(total)
+    return F.when(total > 1, value).otherwise(1.0)
+
+
+def style_tree(seen: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``host``, ``path``, ``pages``, ``importance`` of nodes, and ``host``, ``path``, ``content``, ``pages`` of contents.
+
+    The input has a row per node of each page, without copies of pages, or a site of copies would look like
+    nothing but boilerplate. Marks make all counts sums, which tasks work out before they send anything: first
+    per content and per style of a node, then per node, so a host with very many pages is no single group.
+    The importance of a node that is no box is null.
     """
-    seen = seen.filter("box")
-    children = seen.groupBy("host", "path").agg(F.avg("children").alias("children"))
     keys = ["host", "path"]
-    both = entropy(seen, "content").join(entropy(seen, "style"), keys).join(children, keys).join(distinct_pages(seen), keys)
+    contents = seen.groupBy(*keys, "content").agg(
+        marked(NEW_ENTRY).alias("n"),
+        marked(NEW_CONTENT).alias("pages"),
+        marked(NEW_PATH).alias("firsts"),
+        F.sum(F.when(F.col("marks").bitwiseAND(NEW_ENTRY) != 0, F.col("children"))).alias("children"),
+        F.max("box").alias("box"),
+    )
+    by_content = contents.groupBy(*keys).agg(
+        entropy_of("n").alias("content"),
+        (F.sum("children") / F.sum("n")).alias("children"),
+        F.sum("firsts").alias("pages"),
+        F.max("box").alias("box"),
+    )
+    styles = seen.filter(F.col("marks").bitwiseAND(NEW_ENTRY) != 0).groupBy(*keys, "style").agg(F.count(F.lit(1)).alias("n"))
+    by_style = styles.groupBy(*keys).agg(entropy_of("n").alias("style"))
     share = F.pow(F.lit(CONTENT_WEIGHT), F.col("children"))
-    score = F.col("content") * share + F.col("style") * (1 - share)
-    return both.select("host", "path", "pages", F.greatest(score, F.lit(0.0)).alias("importance"))
+    score = F.greatest(F.col("content") * share + F.col("style") * (1 - share), F.lit(0.0))
+    nodes = by_content.join(by_style, keys).select(*keys, "pages", F.when(F.col("box"), score).alias("importance"))
+    return nodes, contents.select(*keys, "content", "pages")
 
 
-def content_importance(seen: DataFrame) -> DataFrame:
-    """``host``, ``path``, ``key``, ``pages``, ``importance`` of single contents: 1 on one page, 0 on all pages of the node.
+def unimportant(nodes: DataFrame, contents: DataFrame, fewest_pages: int, least_importance: float) -> DataFrame:
+    """``host``, ``path``, ``content`` of what goes: a content, or a node where the content is null.
 
-    That is one less the entropy of a content over the pages that have it, to the base of the node's pages.
+    The importance of a content is 1 on one page and 0 on all pages of its node: one less the entropy of the
+    content over the pages that have it, to the base of the node's pages.
     """
-    on = seen.groupBy("host", "path", "key", "page").agg(F.lit(1).alias("one")).groupBy("host", "path", "key").agg(F.count(F.lit(1)).alias("n"))
-    both = on.filter("n > 1").join(distinct_pages(seen), ["host", "path"])
-    return both.select("host", "path", "key", "pages", (1 - F.log("n") / F.log("pages")).alias("importance"))
+    enough = nodes.filter(F.col("pages") >= fewest_pages)
+    alike = enough.filter(F.col("importance") < least_importance).select("host", "path", F.lit(None).cast("long").alias("content"))
+    repeated = contents.filter("pages > 1").withColumnRenamed("pages", "on")
+    common = repeated.join(enough.select("host", "path", "pages"), ["host", "path"])
+    common = common.filter(1 - F.log("on") / F.log("pages") < least_importance)
+    return alike.union(common.select("host", "path", "content"))
 
 
-def unimportant(seen: DataFrame, fewest_pages: int, least_importance: float) -> DataFrame:
-    """``host``, ``path``, ``key`` of what goes: a content, or a node where the key is null."""
-    low = (F.col("pages") >= fewest_pages) & (F.col("importance") < least_importance)
-    nodes = importance(seen).filter(low).select("host", "path", F.lit(None).cast("long").alias("key"))
-    return nodes.union(content_importance(seen).filter(low).select("host", "path", "key"))
+def removed_nodes(found: DataFrame, low: DataFrame, by: list[str]) -> DataFrame:
+    """``host``, ``path``, row key and number of the nodes that are in ``low``, some of them twice."""
+    alike = low.filter("content IS NULL").select(*by)
+    common = low.filter("content IS NOT NULL").select(*by, "content")
+    what = ["host", "path", ROW, "node"]
+    return found.join(alike, by).select(*what).union(found.join(common, [*by, "content"]).select(*what))
 
 
-def removed_branches(found: DataFrame, low: DataFrame) -> DataFrame:
-    """Row key and what is removed there: the path of a node or the key of a content."""
-    nodes = found.filter("box").join(low.filter("key IS NULL").select("host", "path"), ["host", "path"])
-    contents = found.join(low.filter("key IS NOT NULL").select("host", "key"), ["host", "key"])
-    return nodes.select(ROW, F.col("path").alias("branch")).union(contents.select(ROW, F.col("key").alias("branch")))
+EXTRACTED = "page_id {id}, url string, text string"
 
 
-EXTRACTED = "page_id {id}, url string, text string"
+def kept_text(texts: list[str], at: list[int], around: list[int], removed: list[int] | None) -> str:
+    """The texts without those in removed nodes; all of them if nothing would be left."""
+    if removed:
+        gone, out = set(removed), []
+        for node, outer in enumerate(around):
+            out.append(node in gone or (outer >= 0 and out[outer]))
+        texts = [t for t, node in zip(texts, at, strict=True) if node < 0 or not out[node]] or texts
+    return " ".join(texts)
 
 
 def extractor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        removed = batch["removed"].to_pylist() if "removed" in batch.schema.names else [None] * batch.num_rows
-        texts = [parse(h.as_py()).main_text(set(r or ())) for h, r in zip(batch["html"], removed, strict=True)]
+        columns = [batch[c].to_pylist() for c in ("texts", "at", "around", "removed")]
+        texts = [kept_text(*row) for row in zip(*columns, strict=True)]
         yield pa.record_batch({"page_id": batch["page_id"], "url": batch["url"], "text": pa.array(texts, pa.string())})
 
 
@@ -402,22 +473,32 @@ def main_text(
     decoded. Null and empty pages have an empty text; a null or malformed address is a host of its own name.
     If all of a page would be removed, its text stays. Nodes that fewer than ``fewest_pages`` pages of their host
     have are judged by the pages of all hosts, or not at all where these are too few, too.
+
+    Pages are parsed once; their nodes and texts are written to the scratch folder, and all statistics read from
+    there. What is removed is joined by row number, never grouped by host.
     """
     spark = pages.sparkSession
     ship_package(spark)
+    id_type = dict(pages.dtypes)[id_col]
     slim = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    numbered, _ = stored(with_row_key(slim), "numbered-pages")
-    found, found_path = stored(numbered.select(ROW, "url", "html").mapInArrow(boxes, BOX_ROWS), "page-boxes")
-    what = ["host", "path", "content", "style", "children", "box", "page", "key"]
-    seen, seen_path = stored(found.groupBy(*what).agg(F.lit(1).alias("one")), "style-tree")
-    everywhere = seen.withColumn("host", F.lit(ALL_HOSTS))
-    rare = distinct_pages(seen).filter(F.col("pages") < fewest_pages).select("host", "path")
-    alone = found.join(rare, ["host", "path"], "left_semi").withColumn("host", F.lit(ALL_HOSTS))
-    branches = removed_branches(found, unimportant(seen, fewest_pages, least_importance)).union(
-        removed_branches(alone, unimportant(everywhere, fewest_pages, least_importance))
-    )
-    removed, _ = stored(branches.groupBy(ROW).agg(F.collect_set("branch").alias("removed")), "removed-branches")
-    freed(spark, found_path, seen_path)
-    schema = EXTRACTED.format(id=dict(pages.dtypes)[id_col])
-    extracted = numbered.join(removed, ROW, "left").drop(ROW).mapInArrow(extractor, schema)
+    parsed, _ = stored(with_row_key(slim).mapInArrow(parser, PARSED.format(id=id_type)), "parsed-pages")
+    counted = ["path", "content", "style", "children", "box", "marks"]
+
+    def tree(distinct: DataFrame, host: Column) -> tuple[DataFrame, str]:
+        seen = exploded(parsed.join(distinct, ROW, "left_semi"), *counted).withColumn("host", host)
+        nodes, contents = style_tree(seen)
+        return stored(unimportant(nodes, contents, fewest_pages, least_importance), "style-tree")
+
+    first = unlike(parsed, "host", "page")
+    low, low_path = tree(first, F.col("host"))
+    everywhere, everywhere_path = tree(unlike(parsed, "page"), F.lit(ALL_HOSTS))
+    found = exploded(parsed, "path", "content")
+    counts = exploded(parsed.join(first, ROW, "left_semi"), "path", "marks").groupBy("host", "path").agg(marked(NEW_PATH).alias("pages"))
+    rare = counts.filter(F.col("pages") < fewest_pages)
+    alone = removed_nodes(found, everywhere, ["path"]).join(rare, ["host", "path"], "left_semi")
+    branches = removed_nodes(found, low, ["host", "path"]).union(alone)
+    removed, _ = stored(branches.groupBy(ROW).agg(F.collect_set("node").alias("removed")), "removed-nodes")
+    freed(spark, low_path, everywhere_path)
+    extracted = parsed.select(ROW, "page_id", "url", "texts", "at", "around").join(removed, ROW, "left")
+    extracted = extracted.drop(ROW).mapInArrow(extractor, EXTRACTED.format(id=id_type))
     return extracted.withColumn("n_chars", F.length("text").cast("long"))
