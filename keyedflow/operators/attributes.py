@@ -80,15 +80,33 @@ def pivot_rows(
     One aggregate keeps the newest value of each dictionary entry, partly before the only shuffle, so a key
     sends one row per partition, with no more values than the dictionary has, however many rows it has.
     """
-    targets = sorted(set(names.values()))
     mapped = df.withColumn("_name", map_name(F.col(name), names)).filter("_name is not null")
+    ranked = mapped.withColumn("_rank", F.struct(*order))
+    return newest_values(ranked, keys, "_name", value, "_rank", names, out, values)
+
+
+def newest_values(
+    df: DataFrame,
+    keys: Sequence[str],
+    name: str,
+    value: str,
+    rank: str,
+    names: Mapping[str, str],
+    out: str,
+    values: Callable[[Column], Column],
+) -> DataFrame:
+    """One map per key of rows whose names are mapped already: of each name the value of greatest rank.
+
+    A key whose rows have null names only gets an empty map. Serves tables and, in append mode, streams.
+    """
+    targets = sorted(set(names.values()))
     found = F.struct(F.col(value).alias("value"))
 
     def newest(target: str) -> Column:
-        mine = F.col("_name") == target
-        return F.max_by(F.when(mine, found), F.when(mine, F.struct(*order)))
+        mine = F.col(name) == target
+        return F.max_by(F.when(mine, found), F.when(mine, F.col(rank)))
 
-    folded = mapped.groupBy(*keys).agg(*[newest(t).alias(f"_{i}") for i, t in enumerate(targets)])
+    folded = df.groupBy(*keys).agg(*[newest(t).alias(f"_{i}") for i, t in enumerate(targets)])
     entries = F.array(*[F.struct(F.lit(t).alias("name"), F.col(f"_{i}").alias("held")) for i, t in enumerate(targets)])
     present = F.filter(entries, lambda e: e["held"].isNotNull())
     pairs = F.transform(present, lambda e: F.struct(e["name"], values(e["held"]["value"])))

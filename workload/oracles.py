@@ -366,6 +366,12 @@ held AS (
 SELECT CAST(batch_id AS BIGINT) AS batch_id, user_id, event_type, event_id, value
 FROM held WHERE before IS NULL OR rank > before""",
     "stream_changed_documents": DOCUMENTS,
+    "stream_attach_attributes": """
+SELECT o_orderkey AS l_orderkey, CAST(count(DISTINCT l_linenumber) AS INTEGER) AS n_attributes,
+       CAST(max({'at': l_shipdate, 'part': l_partkey}) FILTER (WHERE l_linenumber = 1).part AS VARCHAR) AS line_1
+FROM orders LEFT JOIN (SELECT * FROM lineitem WHERE l_linenumber BETWEEN 1 AND 7) AS lines
+  ON l_orderkey = o_orderkey AND l_shipdate >= o_orderdate AND l_shipdate <= o_orderdate + INTERVAL 60 DAY
+GROUP BY o_orderkey, o_orderdate""",
     "stream_replay": f"""
 SELECT event_id AS "sequenceNumber", strftime(date_trunc('hour', ts), '{MILLIS}Z') AS enqueued FROM events""",
     "active_config": MESSAGES

@@ -35,6 +35,7 @@ from keyedflow.sinks.append import AppendTable, BatchId, append_batch, read_appe
 from keyedflow.sinks.snapshot import Snapshot
 from keyedflow.sources.messages import MessageSource, decode, read_stream
 from keyedflow.sources.settings import active_setting, newest_row, read_settings
+from keyedflow.streaming.attach import attach_stream
 from keyedflow.streaming.changes import changed_per_key, use_rocksdb
 from keyedflow.streaming.runner import start_stream
 from workload.tables import events, flight_messages, spelled_time, table
@@ -596,6 +597,62 @@ def stream_changed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_scalars(snapshot.read(spark, target))
 
 
+#: Ranges of time in the order in which they arrive, of six that cover the orders' dates.
+SPANS = (1, 0, 3, 2, 5, 4)
+
+
+def _dated(rows: DataFrame, at: str) -> DataFrame:
+    """Rows with the number of the 430 days that they fall in; later ones belong to the last."""
+    days = F.datediff(at, F.lit("1992-01-01"))
+    return rows.withColumn("span", F.least(F.floor(days / 430), F.lit(5)).cast("int"))
+
+
+def _attach_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Orders with what is shipped within 60 days, a hot order's lines dealt to two lanes."""
+    return attach_stream(
+        orders, lines, ["l_orderkey"], "ordered", "shipped", LINE_NAMES, "900 days", after="60 days", order=["l_partkey"], lanes=2
+    ).select("l_orderkey", F.size("attributes").alias("n_attributes"), F.col("attributes")["line_1"].alias("line_1"))
+
+
+def stream_attach_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and lines as two streams whose ranges of time arrive out of order, restarted on the way.
+
+    A last message in each stream, far ahead and of an order of its own, lets all time before it pass.
+    """
+    landing, checkpoint = scratch_folder(spark, "landing"), scratch_folder(spark, "checkpoint")
+    log = AppendTable(scratch_folder(spark, "attached"))
+    order_key, ordered = F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("timestamp").alias("ordered")
+    orders = _dated(table(spark, sf_dir, "orders").select(order_key, ordered), "ordered")
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        F.concat(F.lit("L."), F.col("l_linenumber")).alias("name"),
+        F.col("l_partkey").cast("string").alias("value"),
+        F.col("l_shipdate").cast("timestamp").alias("shipped"),
+        "l_partkey",
+    )
+    lines = _dated(lines, "shipped")
+    sides = {"orders": orders, "lines": lines}
+    ahead = F.to_timestamp(F.lit("2020-01-01"))
+    last = {"l_orderkey": F.lit(-1), "name": F.lit("L.1"), "ordered": ahead, "shipped": ahead}
+    stream = {side: rows.drop("span").schema for side, rows in sides.items()}
+
+    def land(batch: DataFrame, number: int) -> None:
+        append_batch(batch, log, BatchId("stream", number))
+
+    for spans in (SPANS[:3], (*SPANS[3:], None)):
+        for span in spans:
+            for side, rows in sides.items():
+                if span is None:
+                    part = spark.range(1).select(*[last.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in stream[side]])
+                else:
+                    part = rows.filter(F.col("span") == span).drop("span")
+                part.coalesce(1).write.mode("append").parquet(f"{landing}/{side}")
+        read = {s: spark.readStream.schema(t).option("maxFilesPerTrigger", 1).parquet(f"{landing}/{s}") for s, t in stream.items()}
+        attached = _attach_lines(read["orders"], read["lines"])
+        start_stream(attached, land, checkpoint, available_now=True).awaitTermination()
+    return read_appended(spark, log).select("l_orderkey", "n_attributes", "line_1")
+
+
 def active_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole stream through the job that the newest active settings row describes.
 
@@ -686,6 +743,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_latest,
         stream_changes,
         stream_changed_documents,
+        stream_attach_attributes,
         active_config,
         stream_replay,
     )
