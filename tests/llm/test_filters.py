@@ -322,6 +322,28 @@ def test_repeated_notices_inside_articles_go(spark, tmp_path):
     assert all(texts[k + i] == f"title {i} text {i} of its own item {i}" for i in range(30) for k in (0, 100))
 
 
+def test_a_page_on_many_hosts_counts_once(spark, tmp_path):
+    page = "<div class='note'><p>shared by all</p></div><div class='story'><p>the same story</p></div>"
+    rows = [(i, f"http://h{i}.example/a", page, None) for i in range(30)]
+    # Pages of their own on hosts of their own, with a note that all of them repeat.
+    for i in range(100, 130):
+        own = f"<div class='note'><p>on every page</p></div><div class='story'><p>story {i}</p></div>"
+        rows.append((i, f"http://h{i}.example/a", own, None))
+    got = html_text.main_text(stored(spark, tmp_path, rows, "page_id long, url string, html string, text string"))
+    texts = {r["page_id"]: r["text"] for r in got.collect()}
+    # The note's node says the same on 30 of 31 different pages and goes whole; the copied story is one story of 31.
+    assert all(texts[i] == "the same story" for i in range(30))
+    assert all(texts[i] == f"story {i}" for i in range(100, 130))
+
+
+def test_texts_of_removed_nodes_go():
+    # Nodes 0 (1 (2)) and 3; the text in node 2 goes with node 1.
+    texts, at, around = ["a", "b", "c", "d"], [0, 2, 3, -1], [-1, 0, 1, -1]
+    assert html_text.kept_text(texts, at, around, None) == "a b c d"
+    assert html_text.kept_text(texts, at, around, [1]) == "a c d"
+    assert html_text.kept_text(texts[:3], at[:3], around, [0, 3]) == "a b c"
+
+
 @pytest.mark.parametrize("junk", ["<", "<a ", "<div>", "<!--", "&", "<p><b>", "<a '", "<script>", "</", '<a b="x'])
 def test_hostile_pages_take_linear_time(junk):
     began = time.process_time()
