@@ -157,3 +157,13 @@ def test_changed_documents(spark, rocksdb, tmp_path, arrival):
         output="update",
     ).awaitTermination()
     assert [(n, gate, size) for n, gate, _, size in out] == [(0, "new", 12), (2, "newest", 12)]
+
+
+def test_bodies_go_through_state_as_texts(spark, rocksdb, tmp_path):
+    schema = "Body binary, enqueuedTime timestamp, sequenceNumber long"
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/in")
+    source = MessageSource("parquet", {}, f"{tmp_path}/in", spark.createDataFrame([], schema).schema)
+    plan = changed_documents(read_stream(spark, source), FLIGHT)._jdf.queryExecution().analyzed().toString()
+    after, before = plan.split("TransformWithState", 1)
+    assert "_text" in before and "flightDataUpdateItem" in after
+    assert "flightDataUpdateItem" not in before and "aircraftReg" not in before
