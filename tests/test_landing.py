@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from keyedflow.sinks.files import matching
-from workload.queries import message_stream
+from workload.queries import _land_span, message_stream
 from workload.tables import flight_messages, landed_messages, made_messages
 
 EVENTS = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
@@ -51,3 +51,11 @@ def test_a_stream_takes_the_landed_files_in_five_parts(spark, tmp_path):
     stream = message_stream(spark, sf_dir).writeStream.option("checkpointLocation", f"{tmp_path}/cp")
     stream.trigger(availableNow=True).foreachBatch(lambda b, n: sizes.append(b.count())).start().awaitTermination()
     assert len(sizes) == 5 and sum(sizes) == 600
+
+
+def test_a_span_lands_in_a_set_number_of_files(spark, tmp_path):
+    rows = spark.range(1000).select("id", F.lit("x").alias("name"))
+    for part in (rows, rows.limit(2), rows.filter("id < 0")):
+        _land_span(part, f"{tmp_path}/in", 4)
+    assert len(matching(spark, f"{tmp_path}/in/part-*")) == 12
+    assert spark.read.parquet(f"{tmp_path}/in").count() == 1002

@@ -32,6 +32,7 @@ from keyedflow.presets.flight import FALL_BACKS, FLIGHT
 from keyedflow.session import scratch_folder
 from keyedflow.sinks import snapshot
 from keyedflow.sinks.append import AppendTable, BatchId, append_batch, read_appended
+from keyedflow.sinks.files import matching
 from keyedflow.sinks.snapshot import Snapshot
 from keyedflow.sources.messages import MessageSource, decode, read_stream
 from keyedflow.sources.settings import active_setting, newest_row, read_settings
@@ -612,6 +613,22 @@ def _attach_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
     ).select("l_orderkey", F.size("attributes").alias("n_attributes"), F.col("attributes")["line_1"].alias("line_1"))
 
 
+#: Rows that a landing file of a range of time holds, if ranges were equal.
+FILE_ROWS = 500_000
+
+
+def _land_span(part: DataFrame, folder: str, files: int) -> None:
+    """Write one range of time as so many files, so that a batch of that many files is the range and no more.
+
+    Rows are dealt by all columns; tasks without rows write no file, so empty files make up the number.
+    """
+    spark, before = part.sparkSession, len(matching(part.sparkSession, f"{folder}/part-*"))
+    part = part.repartition(files, *part.columns) if files > 1 else part.coalesce(1)
+    part.write.mode("append").parquet(folder)
+    for _ in range(before + files - len(matching(spark, f"{folder}/part-*"))):
+        spark.createDataFrame([], part.schema).coalesce(1).write.mode("append").parquet(folder)
+
+
 def stream_attach_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders and lines as two streams whose ranges of time arrive out of order, restarted on the way.
 
@@ -633,6 +650,7 @@ def stream_attach_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ahead = F.to_timestamp(F.lit("2020-01-01"))
     last = {"l_orderkey": F.lit(-1), "name": F.lit("L.1"), "ordered": ahead, "shipped": ahead}
     stream = {side: rows.drop("span").schema for side, rows in sides.items()}
+    files = {side: -(-rows.count() // (len(SPANS) * FILE_ROWS)) or 1 for side, rows in sides.items()}
 
     def land(batch: DataFrame, number: int) -> None:
         append_batch(batch, log, BatchId("stream", number))
@@ -644,8 +662,8 @@ def stream_attach_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
                     part = spark.range(1).select(*[last.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in stream[side]])
                 else:
                     part = rows.filter(F.col("span") == span).drop("span")
-                part.coalesce(1).write.mode("append").parquet(f"{landing}/{side}")
-        read = {s: spark.readStream.schema(t).option("maxFilesPerTrigger", 1).parquet(f"{landing}/{s}") for s, t in stream.items()}
+                _land_span(part, f"{landing}/{side}", files[side])
+        read = {s: spark.readStream.schema(t).option("maxFilesPerTrigger", files[s]).parquet(f"{landing}/{s}") for s, t in stream.items()}
         attached = _attach_lines(read["orders"], read["lines"])
         start_stream(attached, land, checkpoint, available_now=True).awaitTermination()
     return read_appended(spark, log).select("l_orderkey", "n_attributes", "line_1")
