@@ -15,12 +15,13 @@ LOOSE_SPACE = re.compile(r"\s (?:\s|$)")
 #: A space after a visible ASCII character.
 TIGHT_SPACE = re.compile(r"(?<=[!-~])(?= )")
 # Letters of ASCII and Latin-1, digits, ASCII signs (but the apostrophe, which starts contractions) and single
-# line ends: the pre-tokenizer makes each such run one word, whatever stands around it.
-SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-_RUNS = ("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+", "[0-9]+", r"[!-&(-/:-@\[-`{-~]+", r"\n(?!\n)")
-PARTS = re.compile("|".join(_RUNS))
-# Runs don't give characters back, so a word that is no such sequence is refused in linear time.
-PARTED = re.compile("(?!\n)(?:" + "|".join(run.replace("]+", "]++") for run in _RUNS) + ")++")
+# line ends: the pre-tokenizer makes each such run one word, with a space before it, where plain text goes on.
+_RUNS = ("A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", "0-9", r"!-&(-/:-@\[-`{-~")
+_RUN = "|".join(f"[{run}]++" for run in _RUNS)
+PLAIN = re.compile(f" ?(?:{_RUN})|\n")
+_ALL = "".join(_RUNS)
+#: Such runs, and between them all else up to the next space; together they are the whole text.
+PIECES = re.compile(f" ?(?:{_RUN})(?![^ \n{_ALL}])|\n(?![^ {_ALL}])| ?[^ ]++| ")
 
 
 class Recent(dict):
@@ -42,27 +43,14 @@ class Recent(dict):
         return ids
 
 
-class Words(Recent):
-    """Ids of words after a space. A word with signs after it is put together, not kept."""
-
-    def __init__(self, make: Callable[[str], bytes], size: int, signs: Recent):
-        super().__init__(make, size)
-        self.signs = signs
-
-    def __missing__(self, word: str) -> bytes:
-        core = word.rstrip(SIGNS)
-        if len(core) < len(word) and core.isalpha():
-            return self[core] + self.signs[word[len(core) :]]
-        return super().__missing__(word)
-
-
 class Encoder:
     """Token ids of texts, equal to encoding each text as one string.
 
     The byte-level pre-tokenizer takes at most one space into a word and starts a new word before it, unless
     the space stands between white space (or white space and the end). So a text can be cut before all other
-    spaces and the parts encoded alone, each distinct one only once. Texts with such spaces are cut only
-    after visible ASCII characters. Strings of special tokens count as ordinary text.
+    spaces, and around runs of plain characters, and the pieces encoded alone, each distinct one only once. Texts
+    with spaces of that kind are cut after visible ASCII characters first, and what still has one is a piece.
+    Strings of special tokens count as ordinary text.
     """
 
     def __init__(self, path: str, words: int | None = None):
@@ -78,39 +66,35 @@ class Encoder:
         self.spelling = {b: spell(chr(b))[0][0] for b in range(128)}
         wide = [spell(chr(64 * a + b))[0][0] for a in (2, 3) for b in range(64)]
         self.spelling |= {0xC2: wide[0][0], 0xC3: wide[64][0]} | {0x80 + b: wide[b][1] for b in range(64)}
-        self.parts = Recent(self._part, words)
-        self.words = Words(self._word, words, self.parts)
+        self.words = Recent(self._word, words)
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _part(self, part: str) -> bytes:
-        """Ids of one word of the pre-tokenizer, made of characters up to U+00FF."""
-        spelled = part.encode().decode("latin-1").translate(self.spelling)
-        return array("I", [token.id for token in self.model.tokenize(spelled)]).tobytes()
-
     def _word(self, word: str) -> bytes:
-        """Ids of a word after a space, from those of its parts where these stand alone."""
-        if word.isalpha() and (word.isascii() or max(word) <= "\u00ff"):
-            return self._part(" " + word)
-        if not PARTED.fullmatch(word):
-            return self._whole(" " + word)
-        first, *rest = PARTS.findall(word)
-        head = self.words[first] if first.isalpha() else self.parts[" " + first]
-        return head + b"".join(map(self.parts.__getitem__, rest))
+        """Ids of a piece; the model is asked directly for one that is a word of the pre-tokenizer."""
+        if not PLAIN.fullmatch(word):
+            return self._whole(word)
+        if word.isascii() and word != "\n":  # visible ASCII spells itself
+            spelled = word.replace(" ", self.spelling[0x20])
+        else:
+            spelled = word.encode().decode("latin-1").translate(self.spelling)
+        return array("I", [token.id for token in self.model.tokenize(spelled)]).tobytes()
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """For every text its ids as little-endian unsigned 32-bit integers."""
-        found: list[bytes] = []
         word = self.words.__getitem__
-        for text in texts:
-            if LOOSE_SPACE.search(text):
-                head, *rest = TIGHT_SPACE.split(text)
-                tail = [part[1:] for part in rest]
-            else:
-                head, *tail = text.split(" ")
-            found.append(self._whole(head) + b"".join(map(word, tail)))
-        return found
+        return [b"".join(map(word, pieces_of(text))) for text in texts]
+
+
+def pieces_of(text: str) -> list[str]:
+    """A text cut where the pre-tokenizer cuts it whatever stands on either side."""
+    if not LOOSE_SPACE.search(text):
+        return PIECES.findall(text)
+    pieces: list[str] = []
+    for part in TIGHT_SPACE.split(text):
+        pieces += [part] if LOOSE_SPACE.search(part) else PIECES.findall(part)
+    return pieces
 
 
 _ENCODERS: dict[tuple[str, int], Encoder] = {}

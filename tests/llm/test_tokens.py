@@ -41,6 +41,19 @@ def test_cache_stays_bounded(tokenizer_path, monkeypatch):
     assert len(encoder.words) + len(encoder.words.old) <= 20
 
 
+def test_words_with_signs_are_looked_up_in_parts(tokenizer, tokenizer_path, monkeypatch):
+    """A word costs the model one call, whatever signs, digits or line ends stand around it."""
+    encoder = tokens.Encoder(tokenizer_path)
+    asked = []
+    make = encoder.words.make
+    monkeypatch.setattr(encoder.words, "make", lambda piece: asked.append(piece) or make(piece))
+    text = " ".join(["häuser", *(f"{sign}häuser{sign}" for sign in ("", ".", ",", ";)", "12", "!\n", "\n"))])
+    assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == ids_of(tokenizer, text, end=False)
+    assert sorted(p for p in asked if "häuser" in p) == [" häuser", "häuser"]
+    odd = "x'häuser\u0151 \n\nhäuser,\thäuser\xa0.\u00d7 ..'s"
+    assert np.frombuffer(encoder.encode([odd])[0], "<u4").tolist() == ids_of(tokenizer, odd, end=False)
+
+
 def test_token_counts(corpus, tokenizer, tokenizer_path):
     lengths = np.array([len(ids_of(tokenizer, r["text"], end=False)) for r in corpus.collect()])
     got = token_counts.token_counts(corpus, tokenizer_path).collect()
