@@ -27,6 +27,8 @@ from keyedflow.llm.tokens import encoder, groups_of
 
 WINDOW, END = 1024, 0
 ITERATIONS = 400
+#: Words whose ids a worker keeps; the plan comes after the encoding, so there may be many.
+CACHE_WORDS = 700_000
 
 TOKENIZED = "id long, n long, part int, tail int, rank long, full_before long, crcs array<long>, rest binary"
 PIECES = (
@@ -38,7 +40,7 @@ def cutter(path: str, window: int, end: int | None):
     """Encode documents; checksums of their whole windows, and the ids of their tails."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        encode = encoder(path, CACHE_WORDS).encode
         close = b"" if end is None else int(end).to_bytes(4, "little")
         part, full_before = TaskContext.get().partitionId(), 0
         seen: Counter[int] = Counter()

@@ -5,8 +5,10 @@ from __future__ import annotations
 import random
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from keyedflow.llm import packing, token_counts, token_files, tokens
@@ -136,6 +138,16 @@ def test_packing(corpus, tokenizer, tokenizer_path, window):
     check_pieces(packing.pack(unique, tokenizer_path, window=window).collect(), texts, window)
 
 
+def test_packing_keeps_more_words_than_usual(tokenizer_path, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(packing, "encoder", lambda path, words=None: sizes.append(words) or tokens.encoder(path, words))
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    batch = pa.record_batch({"id": pa.array([7]), "text": pa.array(["two words"])})
+    cut = list(packing.cutter(tokenizer_path, 8, 0)([batch]))
+    assert sizes[0] is not None and sizes[0] > tokens.CACHE_WORDS
+    assert cut[0]["n"].to_pylist() == [len(np.frombuffer(tokens.Encoder(tokenizer_path).encode(["two words"])[0], "<u4")) + 1]
+
+
 def test_packing_of_repeated_and_null_identifiers(corpus, tokenizer, tokenizer_path):
     pieces = packing.pack(corpus, tokenizer_path)
     total = sum(len(ids_of(tokenizer, r["text"])) for r in corpus.collect())
