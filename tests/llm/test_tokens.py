@@ -49,9 +49,9 @@ def test_words_with_signs_are_looked_up_in_parts(tokenizer, tokenizer_path, monk
     asked = []
     make = encoder.words.make
     monkeypatch.setattr(encoder.words, "make", lambda piece: asked.append(piece) or make(piece))
-    text = " ".join(["häuser", *(f"{sign}häuser{sign}" for sign in ("", ".", ",", ";)", "12", "!\n", "\n"))])
+    text = " ".join(["häuser", *(f"{sign}häuser{sign}" for sign in ("", ".", ",", ";)", "12")), "häuser\nhäuser!"])
     assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == ids_of(tokenizer, text, end=False)
-    assert sorted(p for p in asked if "häuser" in p) == [" häuser", "häuser"]
+    assert sorted(p for p in asked if "häuser" in p) == [" häuser", "häuser"]  # with a space before it and without
     odd = "x'häuser\u0151 \n\nhäuser,\thäuser\xa0.\u00d7 ..'s"
     assert np.frombuffer(encoder.encode([odd])[0], "<u4").tolist() == ids_of(tokenizer, odd, end=False)
 
