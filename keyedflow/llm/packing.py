@@ -15,6 +15,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -40,16 +41,17 @@ def cutter(path: str, window: int, end: int | None):
     """Encode documents; checksums of their whole windows, and the ids of their tails."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, CACHE_WORDS).encode
+        encode = encoder(path, CACHE_WORDS).encode_column
         close = b"" if end is None else int(end).to_bytes(4, "little")
         part, full_before = TaskContext.get().partitionId(), 0
         seen: Counter[int] = Counter()
         for batch in release(batches):
-            texts = batch["text"].to_pylist()
+            texts = batch["text"]
             for begin, stop in groups_of(texts):
                 columns: dict[str, list] = {k: [] for k in ("n", "tail", "rank", "full_before", "crcs", "rest")}
-                for ids in encode(t or "" for t in texts[begin:stop]):
-                    ids += close
+                data, offsets = encode(texts[begin:stop], close)
+                for first, last in pairwise(offsets.tolist()):
+                    ids = data[first:last]
                     n = len(ids) // 4
                     full, tail = divmod(n, window)
                     columns["n"].append(n)
@@ -57,7 +59,7 @@ def cutter(path: str, window: int, end: int | None):
                     columns["rank"].append(seen[tail])
                     columns["full_before"].append(full_before)
                     columns["crcs"].append([zlib.crc32(ids[4 * window * i : 4 * window * (i + 1)]) for i in range(full)])
-                    columns["rest"].append(ids[4 * window * full :])
+                    columns["rest"].append(ids[4 * window * full :].tobytes())
                     seen[tail] += 1
                     full_before += full
                 yield pa.record_batch(

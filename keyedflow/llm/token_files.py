@@ -27,17 +27,17 @@ FILE_SCHEMA = "doc_id long, part int, before long, n_tokens long, tokens array<i
 
 def tokenizer_task(path: str, end: int | None):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, CACHE_WORDS).encode
+        encode = encoder(path, CACHE_WORDS).encode_column
         close = b"" if end is None else int(end).to_bytes(4, "little")
         part, before = TaskContext.get().partitionId(), 0
         for batch in release(batches):
-            texts = batch["text"].to_pylist()
+            texts = batch["text"]
             for start, stop in groups_of(texts):
-                ids = [found + close for found in encode(t or "" for t in texts[start:stop])]
-                sizes = np.array([len(x) // 4 for x in ids], np.int64)
-                ends = np.cumsum(sizes)
-                values = pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32())
-                offsets = pa.array(np.concatenate(([0], ends)).astype(np.int32))
+                ids, offsets = encode(texts[start:stop], close)
+                offsets = offsets // 4
+                ends, sizes = offsets[1:], np.diff(offsets)
+                values = pa.array(np.frombuffer(ids, "<i4"), pa.int32())
+                offsets = pa.array(offsets.astype(np.int32))
                 yield pa.record_batch(
                     {
                         "doc_id": batch["doc_id"].slice(start, stop - start),

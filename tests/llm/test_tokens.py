@@ -56,6 +56,49 @@ def test_words_with_signs_are_looked_up_in_parts(tokenizer, tokenizer_path, monk
     assert np.frombuffer(encoder.encode([odd])[0], "<u4").tolist() == ids_of(tokenizer, odd, end=False)
 
 
+def odd_texts(seed, rows):
+    rnd = random.Random(seed)
+    parts = [*"   \n\ta", "B.", "é", "×", "Ã", "12", "'s", "　", "\xa0", "ª", "ő", "слово", "😀", "don't", "\r\n", "word"]
+    return ["", "  ", None, "\n", *("".join(rnd.choice(parts) for _ in range(rnd.randint(0, 25))) for _ in range(rows))]
+
+
+def test_columns_are_cut_like_single_texts():
+    texts = odd_texts(5, 5_000)
+    data, offsets = tokens.bytes_of(pa.array(["left out", *texts])[1:])
+    want = []
+    for text, at in zip(texts, offsets.tolist(), strict=False):
+        for piece in tokens.pieces_of(text or ""):
+            want.append(at)
+            at += len(piece.encode())
+        assert at <= len(data)
+    assert tokens.cuts_of(data, offsets).tolist() == want
+
+
+def test_a_column_asks_once_for_each_piece(tokenizer, tokenizer_path, monkeypatch):
+    """Repeats in a batch cost no look-up each, and all new words go to the model in one call."""
+    encoder = tokens.Encoder(tokenizer_path)
+    asked, calls = [], []
+    monkeypatch.setattr(encoder.words, "get", lambda word: asked.append(word) or dict.get(encoder.words, word))
+    speller = encoder.speller
+    batch = SimpleNamespace(encode_batch_fast=lambda *a, **k: calls.append(a) or speller.encode_batch_fast(*a, **k))
+    monkeypatch.setattr(encoder, "speller", batch)
+    texts = [" ".join(f"word{i % 26}x häuser," for i in range(200))] * 20 + [None, "", *odd_texts(6, 300)]
+    ids, ends = encoder.encode_column(pa.array(texts), close=b"\0\0\0\0")
+    assert len(asked) == len(set(asked)) and len(calls) == 1
+    got = [np.frombuffer(ids[a:b], "<u4").tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    assert got == [ids_of(tokenizer, text) for text in texts]
+
+
+def test_words_come_back_from_the_older_generation():
+    words = tokens.Recent(str.encode, 8)
+    long = "x" * (tokens.CACHE_LENGTH + 1)
+    made = []
+    for some in (["a", "b", "c"], ["d", "e", long], ["a", "f", "g", "h", "i", "j"], ["a", "j"]):
+        assert words.many(some, made.extend) == [w.encode() for w in some]
+        assert len(words) <= 4 and len(words.old) <= 4 and long not in words
+    assert made == ["a", "b", "c", "d", "e", long, "f", "g", "h", "i", "j"]
+
+
 def test_token_counts(corpus, tokenizer, tokenizer_path):
     lengths = np.array([len(ids_of(tokenizer, r["text"], end=False)) for r in corpus.collect()])
     got = token_counts.token_counts(corpus, tokenizer_path).collect()
