@@ -191,6 +191,20 @@ def test_packing_keeps_more_words_than_usual(tokenizer_path, monkeypatch):
     assert cut[0]["n"].to_pylist() == [len(np.frombuffer(tokens.Encoder(tokenizer_path).encode(["two words"])[0], "<u4")) + 1]
 
 
+def test_packing_asks_once_for_each_word_of_a_batch(tokenizer, tokenizer_path, monkeypatch):
+    asked = []
+    encoder = tokens.Encoder(tokenizer_path)
+    monkeypatch.setattr(encoder.words, "get", lambda word: asked.append(word) or dict.get(encoder.words, word))
+    monkeypatch.setattr(packing, "encoder", lambda path, words=None: encoder)
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    texts = ["some words, " * 50, None, "some more words"] * 10
+    cut = list(packing.cutter(tokenizer_path, 8, 0)([pa.record_batch({"id": pa.array(range(30)), "text": pa.array(texts)})]))
+    assert sorted(asked) == [" ", " more", " some", " words", ",", "some"]
+    for text, n, rest in zip(texts, cut[0]["n"].to_pylist(), cut[0]["rest"].to_pylist(), strict=True):
+        ids = ids_of(tokenizer, text)
+        assert n == len(ids) and np.frombuffer(rest, "<u4").tolist() == ids[n // 8 * 8 :]
+
+
 def test_packing_of_repeated_and_null_identifiers(corpus, tokenizer, tokenizer_path):
     pieces = packing.pack(corpus, tokenizer_path)
     total = sum(len(ids_of(tokenizer, r["text"])) for r in corpus.collect())
