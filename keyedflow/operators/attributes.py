@@ -107,10 +107,15 @@ def newest_values(
         return F.max_by(F.when(mine, found), F.when(mine, F.col(rank)))
 
     folded = df.groupBy(*keys).agg(*[newest(t).alias(f"_{i}") for i, t in enumerate(targets)])
+    return folded.select(*keys, held_map(targets, values).alias(out))
+
+
+def held_map(targets: Sequence[str], values: Callable[[Column], Column]) -> Column:
+    """The map of columns ``_0``, ``_1`` and so on: for each target a struct of its value, null where it has none."""
     entries = F.array(*[F.struct(F.lit(t).alias("name"), F.col(f"_{i}").alias("held")) for i, t in enumerate(targets)])
     present = F.filter(entries, lambda e: e["held"].isNotNull())
     pairs = F.transform(present, lambda e: F.struct(e["name"], values(e["held"]["value"])))
-    return folded.select(*keys, F.map_from_entries(pairs).alias(out))
+    return F.map_from_entries(pairs)
 
 
 def attach_map(

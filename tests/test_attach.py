@@ -102,3 +102,48 @@ def test_streams_out_of_order_equal_tables(spark, tmp_path, lanes):
     run()
     assert early < len(out)
     assert sorted((row[1:] for row in out), key=repr) == by_hand(sum(flights, []), sum(items, []))
+
+
+def streamed(spark, path, flights, items, before, after, order):
+    """What comes out of streams of these rows, with a last row far ahead in each, and the query that did it."""
+    out = []
+    reads = []
+    for name, rows, schema in (("flights", flights, FLIGHT), ("items", items, f"{ITEM}, rest string")):
+        last = ("last", 9000, "last") if name == "flights" else ("last", 9000, "A", "last", 0, None)
+        for number, part in enumerate((rows[::2], rows[1::2], [last])):
+            spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{path}/{name}/{number}")
+        kind = spark.createDataFrame([], schema).schema
+        reads.append(timed(spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(f"{path}/{name}/*")))
+    joined = attach_stream(*reads, ["k"], "at", "at", NAMES, "4000 seconds", before, after, order=order, lanes=2, buckets=3)
+    query = start_stream(joined, lambda b, n: out.extend(collected(b)), f"{path}/cp", available_now=True)
+    query.awaitTermination()
+    return sorted(out, key=repr), query
+
+
+@pytest.mark.parametrize(("before", "after"), [(20, 0), (-3, 7)])
+def test_ends_of_ranges_beside_ends_of_stretches(spark, tmp_path, before, after):
+    """Stretches are 250 seconds long; rows lie on both sides of their ends."""
+    times = [base + d for base in (250, 500, 750, 1250) for d in (-21, -20, -8, -7, -1, 0, 1, 3, 7, 8, 20)]
+    flights = [(k, t, f"g{t % 2}") for t in times for k in ("a", "b", None)]
+    # At equal times nulls come first, then the greater text.
+    items = [("a", t, name, f"{name}{t}{n}{rest}", n, rest) for t in times for name in "AB" for n, rest in ((1, None), (None, "x"), (1, "é"), (1, "z"))]
+    got, _ = streamed(spark, str(tmp_path), flights, items, f"{before} seconds", f"{after} seconds", ["n", "rest"])
+    expected = []
+    for k, at, gate in set(flights):
+        held = {}
+        for key, when, name, value, n, rest in items:
+            if k == key and at - before <= when <= at + after:
+                rank = (when, n is not None, n or 0, rest is not None, (rest or "").encode())
+                held[NAMES[name]] = max(held.get(NAMES[name], ((), None)), (rank, value))
+        expected.append((k, at, gate, sorted((name, value) for name, (_, value) in held.items())))
+    assert got == sorted(expected, key=repr)
+
+
+def test_state_is_one_list_of_packets_and_a_few_bytes_a_row(spark, tmp_path):
+    flights = [(f"k{i}", i % 50, "g") for i in range(2_000)]
+    items = [(f"k{i % 2_000}", i % 60, "A" if i % 3 else "B", f"v{i}", i, None) for i in range(60_000)]
+    got, query = streamed(spark, str(tmp_path), flights, items, "5 seconds", "20 seconds", ["n"])
+    assert len(got) == 2_000
+    states = [p.stateOperators for p in query.recentProgress]
+    assert {len(s) for s in states} == {1}
+    assert 0 < max(s[0].memoryUsedBytes for s in states) < 60_000 * 100
