@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from keyedflow.sinks.files import matching
-from workload.queries import _land_span, message_stream
+from workload.queries import _land_span, _streamed, message_stream
 from workload.tables import flight_messages, landed_messages, made_messages
 
 EVENTS = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
@@ -43,6 +43,15 @@ def test_landed_messages_are_all_messages(spark, tmp_path):
     assert landed.count() == 600 and hashes(landed) == hashes(made_messages(spark, sf_dir))
 
 
+def test_a_streamed_query_leaves_no_replaced_documents(spark, tmp_path):
+    sinks = _streamed(spark, event_folder(spark, tmp_path))
+    generations = matching(spark, f"{sinks.documents.path}/generations/generation=*")
+    assert len(generations) == 1
+    # Of five batches four are folded; the last waits.
+    assert len(matching(spark, f"{sinks.documents.path}/changes/run_id=*/batch_id=*/try=*")) == 1
+    assert all(".zstd." in p for p in matching(spark, f"{landed_messages(spark, str(tmp_path))[0]}/part-*"))
+
+
 def test_a_stream_takes_the_landed_files_in_five_parts(spark, tmp_path):
     sf_dir = event_folder(spark, tmp_path)
     folder, files = landed_messages(spark, sf_dir)
